@@ -48,7 +48,8 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123)]] = True
 _WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k + 2, 1 << 64) | 1 for k in range(64)], np.uint64)
 #: Hash bits of a key; fewer bits make the shuffle smaller and false meetings (which the verification removes) more frequent.
-_KEY_MASK = np.uint64((1 << 56) - 1)
+KEY_BITS = 48
+_KEY_MASK = np.uint64((1 << KEY_BITS) - 1)
 
 
 def shingle_sets(texts: list[str], words: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +211,9 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     # one exchange serves both the counting and the join
     dealt = keys.repartition("key")
     common = dealt.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
-    entry = F.struct("n", "key")
+    # an entry is one number: the magnitude of the key's frequency above the key, so that sorting puts rare keys first
+    entry = F.shiftleft(F.floor(F.log2("n")), KEY_BITS) + F.col("key")
+    key_of = lambda e: e.bitwiseAND(F.lit((1 << KEY_BITS) - 1))
     prefix = F.col("role") % (1 << 24)
     lists = (
         dealt.join(common.hint("shuffle_hash"), "key")
@@ -220,14 +223,14 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     )
     lists = staged(lists, "prefixes")
 
-    rows = lists.select("id", "entries", F.explode(F.transform("entries", lambda e: e["key"])).alias("key"))
+    rows = lists.select("id", F.explode(F.transform("entries", key_of)).alias("key"))
     crowds = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     rows = rows.join(crowds, "key")
     single = rows.where(F.col("members") <= most_in_a_group).select("key", F.lit(0).cast("bigint").alias("second"), "id")
+    crowded = rows.where(F.col("members") > most_in_a_group).select("id", "key")
     double = (
-        rows.where(F.col("members") > most_in_a_group)
-        .select("id", "key", F.explode(F.transform("entries", lambda e: e["key"])).alias("other")).where("key < other")
-        .select("key", F.col("other").alias("second"), "id")
+        crowded.join(lists.select("id", F.explode(F.transform("entries", key_of)).alias("second")), "id")
+        .where("key < second").select("key", "second", "id")
     )
     meetings = single.unionByName(double).distinct()
     other = meetings.select("key", "second", F.col("id").alias("id_b"))

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vericorpus.llm import near_duplicates, spans, splitting
-from vericorpus.sources.tables import table
+from vericorpus.llm import handwritten, leakage, mixing, near_duplicates, spans, splitting
+from vericorpus.sources.tables import contract_files, table
+
+
+def _not_handwritten(spark: SparkSession, d: str) -> DataFrame:
+    return handwritten.not_handwritten(contract_files(table(spark, d, "records")), table(spark, d, "packages"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _not_handwritten(spark, d).select("file_id")
+
+
+def p1_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return _not_handwritten(spark, d)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,8 +50,33 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("file_id_a"), F.col("id_b").alias("file_id_b"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p6_matches(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.without_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "n_chars")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    sized = mixing.plan(mixing.token_counts(table(spark, d, "documents")), table(spark, d, "mix_targets"))
+    return sized.where("missed").select("source")
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_shared, p4_found)}
+    return {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_pieces, p3_found, p3_shared, p4_found, p6_found, p6_matches, p6_clean, p7_found, p7_mix, p7_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
