@@ -208,9 +208,9 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     heads = texts.join(copies, "id", "left_anti")
 
     keys = heads.mapInArrow(_key_rows(words, threshold), "id bigint, role int, keys array<bigint>").select("id", "role", F.explode("keys").alias("key"))
-    # one exchange serves both the counting and the join
+    # one exchange serves both the counting and the join, as long as both read the same columns
     dealt = keys.repartition("key")
-    common = dealt.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
+    common = dealt.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("role").alias("role"), F.count("*").alias("n")).where("low <> high and role > 0").select("key", "n")
     # an entry is one number: the magnitude of the key's frequency above the key, so that sorting puts rare keys first
     entry = F.shiftleft(F.floor(F.log2("n")), KEY_BITS) + F.col("key")
     key_of = lambda e: e.bitwiseAND(F.lit((1 << KEY_BITS) - 1))
