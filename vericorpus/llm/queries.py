@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vericorpus.llm import handwritten, leakage, mixing, near_duplicates, spans, splitting
+from vericorpus.llm import handwritten, leakage, licenses, mixing, near_duplicates, sentences, spans, splitting
 from vericorpus.sources.tables import contract_files, table
 
 
@@ -50,6 +50,10 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("file_id_a"), F.col("id_b").alias("file_id_b"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.licenses(table(spark, d, "records"), table(spark, d, "license_ids"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -75,8 +79,12 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_pieces, p3_found, p3_shared, p4_found, p6_found, p6_matches, p6_clean, p7_found, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_pieces, p3_found, p3_shared, p4_found, p5_found, p6_found, p6_matches, p6_clean, p7_found, p7_mix, p7_shares, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
