@@ -252,15 +252,18 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     return links, classes
 
 
-def expand_links(links: DataFrame, classes: DataFrame, worded: DataFrame) -> DataFrame:
+def expand_links(links: DataFrame, classes: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
     """All pairs (id_a < id_b) of linked texts: between the members of linked classes and within classes.
 
-    ``worded`` (id) are the texts that have a shingle; a class without one has no pairs.
+    The members of a class are linked if they have a shingle at all, which only the texts of classes with copies are
+    read for (words are counted in the JVM).
     """
-    links, classes = staged(links, "links"), classes
+    links = staged(links, "links")
     mine, yours = (classes.select(F.col("class_id").alias(f"id_{s}"), F.col("id").alias(s)) for s in "ab")
     between = links.select("id_a", "id_b").join(mine, "id_a").join(yours, "id_b").select("a", "b")
-    inner = classes.join(worded, "id", "left_semi")
+    copied = staged(classes.where("id <> class_id").select(F.col("class_id").alias("id")).distinct(), "copied")
+    worded = texts.join(copied, "id", "left_semi").where(F.regexp_count("text", F.lit("[A-Za-z0-9_]+")) >= words).select(F.col("id").alias("class_id")).distinct()
+    inner = classes.join(worded, "class_id", "left_semi")
     within = inner.select("class_id", F.col("id").alias("a")).join(inner.select("class_id", F.col("id").alias("b")), "class_id").where("a < b").select("a", "b")
     return between.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).unionByName(within.select(F.col("a").alias("id_a"), F.col("b").alias("id_b")))
 
@@ -270,8 +273,3 @@ def solidity_texts(records: DataFrame) -> DataFrame:
     from vericorpus.sources.tables import contract_files
 
     return contract_files(records).where(F.lower("relative_path").endswith(".sol")).select(F.col("file_id").alias("id"), F.col("clean_source").alias("text"))
-
-
-def with_shingles(texts: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """The ids of texts of at least ``words`` words (the runs of word characters, counted in the JVM)."""
-    return texts.where(F.size(F.split("text", "[^A-Za-z0-9_]+")) >= words).where(F.regexp_count("text", F.lit("[A-Za-z0-9_]+")) >= words).select("id").distinct()

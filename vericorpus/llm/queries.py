@@ -46,7 +46,7 @@ def p3_shared(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     texts = near_duplicates.solidity_texts(table(spark, d, "records"))
     links, classes = near_duplicates.near_duplicate_links(texts)
-    pairs = near_duplicates.expand_links(links, classes, near_duplicates.with_shingles(texts))
+    pairs = near_duplicates.expand_links(links, classes, texts)
     return pairs.select(F.col("id_a").alias("file_id_a"), F.col("id_b").alias("file_id_b"))
 
 
