@@ -41,7 +41,7 @@ from vericorpus.session import staged
 SHINGLE, THRESHOLD = 5, 0.7
 
 #: Upper end of the first size band, and the ratio of the bands' ends.
-FIRST_BAND, BAND_RATIO = 100, 16
+FIRST_BAND, BAND_RATIO = 100, 4
 
 _EPS = 1e-9
 _WORD = np.zeros(256, bool)
@@ -84,7 +84,7 @@ def band_end(band: int) -> int:
 
 
 def band_parts(band: int) -> int:
-    """Parts of a band: about 1.5 to 24 a shingle; in the first band so many that shingles hardly share one."""
+    """Parts of a band: 1.5 to 6 a shingle; in the first band so many that shingles hardly share one."""
     return 1 << 20 if band == 0 else band_end(band) * 3 // 2
 
 
@@ -208,15 +208,14 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     heads = texts.join(copies, "id", "left_anti")
 
     keys = heads.mapInArrow(_key_rows(words, threshold), "id bigint, role int, keys array<bigint>").select("id", "role", F.explode("keys").alias("key"))
-    # one exchange serves both the counting and the join, as long as both read the same columns
-    dealt = keys.repartition("key")
-    common = dealt.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("role").alias("role"), F.count("*").alias("n")).where("low <> high and role > 0").select("key", "n")
+    # counted before the shuffle; a row delivered twice counts as two and is found out by the verification
+    common = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     # an entry is one number: the magnitude of the key's frequency above the key, so that sorting puts rare keys first
     entry = F.shiftleft(F.floor(F.log2("n")), KEY_BITS) + F.col("key")
     key_of = lambda e: e.bitwiseAND(F.lit((1 << KEY_BITS) - 1))
     prefix = F.col("role") % (1 << 24)
     lists = (
-        dealt.join(common.hint("shuffle_hash"), "key")
+        keys.join(common.hint("shuffle_hash"), "key")
         .groupBy("id", "role").agg(F.collect_set(entry).alias("entries"))
         .where(F.size("entries") >= prefix)
         .select("id", F.slice(F.array_sort("entries"), 1, F.size("entries") - prefix + 2).alias("entries"))
@@ -237,8 +236,8 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     pairs = meetings.withColumnRenamed("id", "id_a").join(other, ["key", "second"]).where("id_a < id_b").select("id_a", "id_b").distinct()
 
     left = staged(lists.select("id").distinct(), "left")
-    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), "id bigint, size int, sketch binary, shingles binary").dropDuplicates(["id"]), "sets")
-    small = sets.select("id", "size", "sketch")
+    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), "id bigint, size int, sketch binary, shingles binary"), "sets")
+    small = sets.select("id", "size", "sketch").distinct()
     one, two = (small.select(*(F.col(c).alias(f"{c}_{s}") for c in small.columns)) for s in "ab")
     sized = (
         pairs.join(one, "id_a").join(two, "id_b")
@@ -248,7 +247,7 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     near = staged(sized.mapInArrow(_near_rows(threshold), "id_a bigint, id_b bigint"), "near")
     full = sets.select("id", "shingles")
     one, two = (full.select(*(F.col(c).alias(f"{c}_{s}") for c in full.columns)) for s in "ab")
-    links = near.join(one, "id_a").join(two, "id_b").select("id_a", "id_b", "shingles_a", "shingles_b").mapInArrow(_verified_pairs(threshold), "id_a bigint, id_b bigint, similarity double")
+    links = near.join(one, "id_a").join(two, "id_b").select("id_a", "id_b", "shingles_a", "shingles_b").mapInArrow(_verified_pairs(threshold), "id_a bigint, id_b bigint, similarity double").distinct()
     return links, classes
 
 
