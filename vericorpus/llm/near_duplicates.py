@@ -41,7 +41,7 @@ from vericorpus.session import staged
 SHINGLE, THRESHOLD = 5, 0.7
 
 #: Upper end of the first size band, and the ratio of the bands' ends.
-FIRST_BAND, BAND_RATIO = 100, 4
+FIRST_BAND, BAND_RATIO = 100, 16
 
 _EPS = 1e-9
 _WORD = np.zeros(256, bool)
@@ -84,8 +84,9 @@ def band_end(band: int) -> int:
 
 
 def band_parts(band: int) -> int:
-    """Parts of a band: 1.5 to 6 a shingle; in the first band so many that shingles hardly share one."""
-    return 1 << 20 if band == 0 else band_end(band) * 3 // 2
+    """Parts of a band: so many that the largest set of it, dealt at random, fills more of them than its differences can
+    touch (0.53 against 0.43 of its size, far beyond chance), and in the first band so many that shingles hardly share one."""
+    return 1 << 20 if band == 0 else band_end(band) * 7 // 10
 
 
 def _keys(shingles: np.ndarray, band: int) -> np.ndarray:
