@@ -87,7 +87,7 @@ def composition(text: str | None) -> str | None:
             shape = re.sub(r"(?:0,? ?)+", "0", re.sub(r"(?:\u00a7,? ?)+", "\u00a7", shape))
             shapes[shape] = shapes.get(shape, 0) + 1
         shape, most = max(shapes.items(), key=lambda x: x[1])
-        if most >= TABLE_SHARE * len(code) and re.search("[0\u00a7]", shape):
+        if most >= TABLE_SHARE * len(code) and re.search("[0\u00a7]", shape) and not re.search("[{}]", shape):
             return "data"
     declared = sum(line.startswith(("function ", "event ", "error ")) and line.endswith(";") for line in code)
     if declared >= 4 and declared >= 0.7 * len(code) and re.search(r"\binterface\b", bare):

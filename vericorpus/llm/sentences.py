@@ -182,7 +182,9 @@ def gaps(text: str, start: int, end: int):
         strong = any(c in "!?。！？؟।॥۔" for c in stop)
         wide = any(c in _WIDE for c in stop)
         if wide and re.search(f"[{_HAN}]", text[max(start, a - 1) : a] + text[b : b + 1]):
-            odds = 0.0 if closed else 6.0
+            # a quotation that a colon brings in ends its sentence, another one most often goes on
+            opened = max(text.rfind(q, start, a) for q in "“「『‘《（")
+            odds = 6.0 if not closed else 1.5 if opened > start and text[opened - 1] in "：:" else -1.0
             left = stop + (text[a + size : b] if closed else "")
         elif strong:
             odds = {"lower": -6.0, "ident": 3.0}.get(case, 6.0)
@@ -197,7 +199,7 @@ def gaps(text: str, start: int, end: int):
         elif word in _INNER or re.fullmatch(r"[^\W\d_]", word) or re.fullmatch(r"([^\W\d_]\.)+[^\W\d_]", word):
             odds = -6.0
         elif re.fullmatch(r"\d{1,4}", word):
-            odds = {"lower": -6.0, "upper": 1.0, "ident": 2.0, "digit": -0.5}.get(case, 3.0)
+            odds = {"lower": -6.0, "upper": 2.0, "ident": 2.0, "digit": -0.5}.get(case, 3.0)
         else:
             odds = {"lower": 2.5, "ident": 4.0, "digit": 3.0}.get(case, 5.0)
             if case == "lower":  # of a small letter only the token before can tell
@@ -219,7 +221,8 @@ class Model:
         if n < LEAST_COUNT or right == "<small>":
             return 0.0
         s = min(0.97, max(0.03, self.c["block"].get(right, 0.0) / n / self.rate))
-        return math.log(s / (1 - s))
+        # a few occurrences that begin no block say little against a type
+        return max(math.log(s / (1 - s)), n * math.log((1 - self.rate) / 0.99))
 
     def odds(self, left: str, right: str, second: str) -> float:
         """Log odds of a boundary between two tokens by the n-grams of the last round.
@@ -257,7 +260,7 @@ def posteriors(found, model: Model | None, first: bool) -> list[float]:
     unary = []
     for _, left, right, second, odds in found:
         lm = 0.0 if model is None else model.first_guess(right) if first else model.odds(left, right, second)
-        limit = 8.0 if odds == 0.0 else 4.0
+        limit = 8.0 if abs(odds) <= 1.5 else 3.5
         unary.append(odds + max(-limit, min(limit, lm)))
     pair = []
     for x, y in zip(found, found[1:]):
