@@ -447,12 +447,12 @@ def _names_sql(category: str, names: str, test: str) -> str:
 _BARE = r"\b(?:block\.timestamp|msg\.sender|msg\.value)\b"
 _LINT_SQL = rf"""
     WITH specs AS ({_SPECS}),
-         blocks AS (SELECT *, nullif(regexp_extract(spec, 'methods\s*\{{', 0), '') AS head, nullif(regexp_extract(spec, 'methods\s*\{{[^{{}}]*\}}', 0), '') AS block FROM specs),
+         blocks AS (SELECT *, nullif(regexp_extract(spec, 'methods\s*\{{', 0), '') AS head, nullif(regexp_extract(spec, 'methods\s*\{{[^{{}}]*\}}', 0), '') AS block,
+                           string_split(regexp_replace(spec, '(\binvariant\s+\w+\s*\([^)]*\))', chr(1) || '\1', 'g'), chr(1)) AS cuts FROM specs),
          parts AS (SELECT spec_id, spec, contract, string_split_regex(spec, '\r\n|\n|\r') AS lines, regexp_extract(block, '^methods\s*\{{([^{{}}]*)\}}$', 1) AS methods,
                           CASE WHEN head IS NULL THEN spec ELSE substring(spec, instr(spec, head) + length(head)) END AS rest,
                           list_zip(regexp_extract_all(spec, '(?s)\brule\s+(\w+)\s*\(([^)]*)\)\s*(\{{.*?\n\}})', 2), regexp_extract_all(spec, '(?s)\brule\s+(\w+)\s*\(([^)]*)\)\s*(\{{.*?\n\}})', 3)) AS rules,
-                          list_transform(list_filter(string_split(regexp_replace(spec, '(\binvariant\s+\w+\s*\([^)]*\))', chr(1) || '\1', 'g'), chr(1)), lambda p: regexp_matches(p, '^invariant\s+\w+\s*\([^)]*\)')),
-                                         lambda p: regexp_replace(regexp_replace(p, '^invariant\s+\w+\s*\([^)]*\)\s*', ''), '(?s)\n(?:rule|invariant)\s.*$', '')) AS invariants,
+                          list_transform(range(2, len(cuts) + 1), lambda k: regexp_replace(regexp_replace(array_to_string(cuts[k:], ''), '^invariant\s+\w+\s*\([^)]*\)\s*', ''), '(?s)\n(?:rule|invariant)\s.*$', '')) AS invariants,
                           regexp_extract_all(contract, 'mapping\s*\([^)]+\)\s+public\s+(\w+)', 1) AS mapped,
                           regexp_extract_all(contract, '(?:uint\d*|int\d*|address|bool|bytes\d*|string)\s+public\s+(\w+)', 1) AS variables,
                           list_distinct(regexp_extract_all(contract, '{_MAPPED}', 1) || regexp_extract_all(contract, '\b{_B}\s+public\s+(?:constant\s+)?(\w+)', 2)
@@ -483,7 +483,7 @@ _LINT_SQL = rf"""
 
 @query(_LINT_SQL + " SELECT spec_id, category, n FROM counts WHERE n > 0")
 def l_findings(spark: SparkSession, d: str) -> DataFrame:
-    found = lint.exploded(_specs(spark, d).distinct())
+    found = lint.exploded(_specs(spark, d)).select("spec_id", "ord", "category").distinct()  # rows delivered twice, when they are small
     return found.groupBy("spec_id", "category").agg(F.count("*").alias("n"))
 
 
@@ -661,3 +661,26 @@ def g_normal_paths(spark: SparkSession, d: str) -> DataFrame:
     path = F.try_element_at("contracts", F.lit(-1))["relative_path"]
     rows = table(spark, d, "records").select("id", path.alias("raw")).where("raw is not null").where(~F.regexp_replace("raw", r"\\", "/").rlike(r"(^|/)\.{1,2}(/|$)"))
     return rows.select("id", normal_path("raw").alias("path")).distinct()
+
+
+# --- the whole way ------------------------------------------------------------------------------
+
+
+@query()
+def z_prepared(spark: SparkSession, d: str) -> DataFrame:
+    """Every record as a project, from its files to what drafting starts from; its parts have SQL of their own above."""
+    from vericorpus.plans import pipeline
+
+    rows = pipeline.prepared(_projects(spark, d), closure.entry_files(table(spark, d, "records")))
+    return rows.select("project_id", "entry", "contract_name", "contract_hash", F.md5("profile").alias("profile"), F.md5("methods").alias("methods"), F.size("draft_names").alias("functions"))
+
+
+@query(
+    f"""SELECT 3 AS top_k, h.hits, h.total, h.hit_rate, r.passed, r.total AS runs, r.pass_rate FROM
+        (SELECT count(*) FILTER (hit) AS hits, count(*) AS total, coalesce(count(*) FILTER (hit) / nullif(count(*), 0), 0.0) AS hit_rate FROM ({_CASES})) h,
+        (SELECT count(*) FILTER (lower(status) = 'passed') AS passed, count(*) AS total, count(*) FILTER (lower(status) = 'passed') / count(*) AS pass_rate FROM ({_RUNS})) r"""
+)
+def z_report(spark: SparkSession, d: str) -> DataFrame:
+    from vericorpus.plans import pipeline
+
+    return pipeline.report(table(spark, d, "records"), table(spark, d, "retrieval_results"), _runs(spark, d))
