@@ -99,4 +99,19 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) > 6000 THEN 'forced' ELSE 'natural' END AS cut
             FROM items WHERE length(text) > 6000
         """,
+        "p4_found": r"""
+            WITH files AS (SELECT DISTINCT c.file_id, regexp_extract_all(c.clean_source, '[A-Za-z0-9_]+') AS w FROM (SELECT unnest(contracts) AS c FROM records)
+                           WHERE lower(c.relative_path) LIKE '%.sol' AND c.clean_source IS NOT NULL AND c.file_id IS NOT NULL),
+                 shingles AS (SELECT DISTINCT file_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM files),
+                 sizes AS (SELECT file_id, count(*) AS n FROM shingles GROUP BY 1),
+                 shared AS (SELECT a.file_id AS a, b.file_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.file_id < b.file_id GROUP BY 1, 2)
+            SELECT a AS file_id_a, b AS file_id_b FROM shared s JOIN sizes x ON x.file_id = s.a JOIN sizes y ON y.file_id = s.b WHERE s.n >= 0.7 * (x.n + y.n - s.n)
+        """,
+        "p6_found": r"""
+            WITH texts AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+                 items AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL AND item_id IS NOT NULL),
+                 held AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM texts),
+                 asked AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM items)
+            SELECT DISTINCT doc_id, item_id FROM held JOIN asked USING (p)
+        """,
     }
