@@ -36,7 +36,7 @@ OVERLONG, OVERLONG_SHARE = 300, 0.6
 #: Share of a file's lines of one shape with a literal from which it is a table of data.
 TABLE_SHARE, TABLE_LINES = 0.6, 6
 
-_ASIDE = re.compile(r"(?i)^(licen[cs]e|copying|unlicen[cs]e|notice)([-._].*)?$|^package(-lock)?\.json$|^readme([-._].*)?$")
+_ASIDE = re.compile(r"(?i)(?!.*\.(?:sol|[jt]sx?|vy)$)^(licen[cs]e|copying|unlicen[cs]e|notice)([-._].*)?$|^package(-lock)?\.json$|^readme([-._].*)?$")
 
 #: Header notes of generators, in the languages of the corpus.
 _GENERATED = re.compile(
@@ -54,7 +54,6 @@ _NUMBER = re.compile(r"\b(?:0x[0-9a-fA-F]+|\d[\d_]*(?:\.\d+)?(?:e\d+)?)\b")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
 _NUMBERED_ERROR = re.compile(r"\berror \w*[A-Za-z]\d+\(")
 _ORIGIN = re.compile(r"(?i)\b(?:vendored|copied|imported|taken|borrowed)\s+from\s+(@?[\w./-]*\w)[\s,]+v?(?:tag\s*)?\d|\bupstream:\s*(@?[\w./-]*\w)\s*,")
-_CODE = re.compile(r"(?i)\.(sol|js|ts|jsx|tsx|mjs|cjs|py|vy|go|rs|c|cc|h|java)$")
 
 
 def aside(path: str | None) -> bool:

@@ -65,7 +65,7 @@ _COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(//[^\n]*|/\
 _MARKS = re.compile(r"(?m)^[ \t]*(?:/{2,}!?|/\*+!?|\*+(?!/)|#+)[ \t]?|\*+/[ \t\r]*$")
 _VERSIONED = re.compile(r"(?i)(-only|-or-later|\+)$")
 _WORDS = re.compile(r"[^\W_]+")
-_LICENSE_FILE = re.compile(r"(?i)^(un)?(licen[cs]e|copying)([-._].*)?$")
+_LICENSE_FILE = re.compile(r"(?i)(?!.*\.(?:sol|[jt]sx?|vy)$)^(un)?(licen[cs]e|copying)([-._].*)?$")
 _README = re.compile(r"(?i)^readme([-._].*)?$")
 
 

@@ -40,7 +40,7 @@ _CLOSING = "\"'’”»›)\\]}」』）】》〉"
 _WIDE = "。！？…"  # terminals that need no blank after them
 _HAN = "぀-ヿ㐀-䶿一-鿿가-힯　-〿＀-￯"
 _SPACED = re.compile("[฀-๿຀-໿က-႟ក-៿]")  # scripts with spaces but without periods
-_STOP = re.compile(rf"[{_TERMINAL}]+(?:[   ]?»|[{_CLOSING}])*")
+_STOP = re.compile(rf"[{_TERMINAL}]+(?:\s?»|[{_CLOSING}])*")
 _WORD = re.compile(r"\S+")
 _LETTER = re.compile(r"[^\W\d_]")
 _OPENING = "\"'“„«‘([{¿¡「『（【《‹*_   "
