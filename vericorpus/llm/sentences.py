@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vericorpus.session import staged
+
 #: Bounds of the model, rounds of training, and the least frequency of an entry.
 MOST_TYPES, MOST_PAIRS, ROUNDS, LEAST_COUNT = 50_000, 200_000, 2, 3
 
@@ -54,18 +56,40 @@ _INNER = set(
 _ENDER = set("inc ltd co corp etc kg gmbh ag al a.m p.m u.s uu ff f bzw usw usf sa srl plc llc jr".split())
 
 
+_TAIL = _CLOSING.replace("\\", "") + ",;:"
+_INTEGER = re.compile(r"[-+]?\d{1,4}")
+_IDENTIFIER = re.compile(r"[a-z\d][A-Z]|[\w][._/(:][\w(]|_")
+_HAN_ONE, _LATIN = re.compile(f"[{_HAN}]"), re.compile(r"[A-Za-z0-9_.]+")
+_TERMINALS = re.compile(rf"[{_TERMINAL}]+")
+_LAST_WORD = re.compile(r"[^\s]*$")
+_ELIDED = re.compile(r"^[^\W\d_]{1,2}['’](?=\w)")
+_UNIT, _NUMBER_BEFORE = re.compile(r"[^\W\d_]|min|sec|ms|km|kg"), re.compile(r"\d[.,]?\d*\s$")
+_INITIALS = re.compile(r"[^\W\d_]|([^\W\d_]\.)+[^\W\d_]")
+_SMALL_NUMBER = re.compile(r"\d{1,4}")
+_TYPES: dict[str, str] = {}
+
+
 def token_type(token: str) -> str:
     """A token's type in the model: numbers and identifiers by their shape, other words as they stand."""
-    bare = token.strip(_OPENING).rstrip(_CLOSING.replace("\\", "") + ",;:")
+    known = _TYPES.get(token)
+    if known is None:
+        if len(_TYPES) > 100_000:
+            _TYPES.clear()
+        known = _TYPES[token] = _type_of(token)
+    return known
+
+
+def _type_of(token: str) -> str:
+    bare = token.strip(_OPENING).rstrip(_TAIL)
     stop = bare[-1:] if bare[-1:] in _TERMINAL else ""
     core = bare.rstrip(_TERMINAL)
     if not core:
         return f"{token[:1]}|{stop}"
-    if re.fullmatch(r"[-+]?\d{1,4}", core):
+    if _INTEGER.fullmatch(core):
         return f"<int>{stop}"
     if core[0].isdigit() or core[0] in "+-" and core[1:2].isdigit():
         return f"<num>{stop}"
-    if re.search(r"[a-z\d][A-Z]|[\w][._/(:][\w(]|_", core) and core.lower() not in ("i.e", "e.g", "a.m", "p.m", "u.s"):
+    if _IDENTIFIER.search(core) and core.lower() not in ("i.e", "e.g", "a.m", "p.m", "u.s"):
         return ("<Name>" if core[0].isupper() else "<ident>") + stop
     return core[:24] + stop
 
@@ -123,12 +147,12 @@ def _next_type(text: str, at: int, end: int) -> tuple[str, str, str]:
     token = m.group(0)
     body = token.lstrip(_OPENING) or token
     first = body[0]
-    if re.match(f"[{_HAN}]", first) or re.match(f"[{_HAN}]", token[0]):
+    if _HAN_ONE.match(first) or _HAN_ONE.match(token[0]):
         opened = token[0] if token[0] in _OPENING or not token[0].isalnum() else ""
-        core = re.sub(r"[A-Za-z0-9_.]+", "A", token[len(opened) :])[:2]
+        core = _LATIN.sub("A", token[len(opened) : len(opened) + 200])[:2]
         return opened + core, "", "none"
-    if re.search(f"[{_HAN}]", token):
-        m2 = re.match(r"[A-Za-z0-9_.]+", body)
+    if not token.isascii() and _HAN_ONE.search(token):
+        m2 = _LATIN.match(body)
         rest = body[m2.end() : m2.end() + 2] if m2 else body[:2]
         return ("<num>" if first.isdigit() else "A") + rest, "", "none"
     following = _WORD.search(text, m.end(), end)
@@ -151,9 +175,9 @@ def gaps(text: str, start: int, end: int):
         a, b = m.start(), m.end()
         if text[b : b + 1] in ("“", "‘") and b < end and text.rfind("„" if text[b] == "“" else "‚", start, b) > text.rfind(text[b], start, b):
             b += len(re.match(rf"[“‘{_CLOSING}]+", text[b:end]).group(0))  # it closes a quotation that began low
-        stop = re.match(rf"[{_TERMINAL}]+", m.group(0)).group(0)
+        stop = _TERMINALS.match(m.group(0)).group(0)
         after = text[b : b + 1] if b < end else ""
-        if after and not after.isspace() and not (stop[-1] in _WIDE and (len(stop) > 1 or stop != "…" or re.match(f"[{_HAN}]", after))) and not re.match(f"[{_HAN}]", after):
+        if after and not after.isspace() and not (stop[-1] in _WIDE and (len(stop) > 1 or stop != "…" or _HAN_ONE.match(after))) and not _HAN_ONE.match(after):
             continue
         if after and not after.isspace() and stop[-1] == "." :
             continue
@@ -177,11 +201,10 @@ def gaps(text: str, start: int, end: int):
             continue
         stop = text[a : a + size]
         closed = b > a + size
-        word = re.search(r"[^\s]*$", text[low:a]).group(0).lstrip(_OPENING).lower()
-        word = re.sub(r"^[^\W\d_]{1,2}['’](?=\w)", "", word)  # l'art.
+        word = _ELIDED.sub("", _LAST_WORD.search(text[low:a]).group(0).lstrip(_OPENING).lower())  # l'art.
         strong = any(c in "!?。！？؟।॥۔" for c in stop)
         wide = any(c in _WIDE for c in stop)
-        if wide and re.search(f"[{_HAN}]", text[max(start, a - 1) : a] + text[b : b + 1]):
+        if wide and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
             # a quotation that a colon brings in ends its sentence, another one most often goes on
             opened = max(text.rfind(q, start, a) for q in "“「『‘《（")
             odds = 6.0 if not closed else 1.5 if opened > start and text[opened - 1] in "：:" else -1.0
@@ -194,11 +217,11 @@ def gaps(text: str, start: int, end: int):
             odds = {"lower": -4.0, "ident": 4.0}.get(case, 6.0)
         elif word in _ENDER and not (word in _INNER and case != "upper"):
             odds = {"upper": 1.5, "none": 1.0}.get(case, -6.0)
-        elif re.fullmatch(r"[^\W\d_]|min|sec|ms|km|kg", word) and re.search(r"\d[.,]?\d*\s$", text[low : a - len(word)]) and text[a - 1].islower():
+        elif _UNIT.fullmatch(word) and _NUMBER_BEFORE.search(text[low : a - len(word)]) and text[a - 1].islower():
             odds = {"upper": 4.0, "lower": -4.0}.get(case, 2.0)  # a unit after a number
-        elif word in _INNER or re.fullmatch(r"[^\W\d_]", word) or re.fullmatch(r"([^\W\d_]\.)+[^\W\d_]", word):
+        elif word in _INNER or _INITIALS.fullmatch(word):
             odds = -6.0
-        elif re.fullmatch(r"\d{1,4}", word):
+        elif _SMALL_NUMBER.fullmatch(word):
             odds = {"lower": -6.0, "upper": 2.0, "ident": 2.0, "digit": -0.5}.get(case, 3.0)
         else:
             odds = {"lower": 2.5, "ident": 4.0, "digit": 3.0}.get(case, 5.0)
@@ -287,55 +310,89 @@ def _trimmed(text: str, start: int, end: int) -> int:
     return start + len(text[start:end].rstrip())
 
 
+def parsed(text: str):
+    """The blocks of a text: (prose, end, right, second, last, gaps); right and second begin the block, last ends it."""
+    for start, end, kind in units(text):
+        stop = _trimmed(text, start, end)
+        if kind != "prose":
+            yield False, stop, "", "", "", []
+            continue
+        right, second, _ = _next_type(text, start, end)
+        last = text[max(start, stop - 200) : stop].split()
+        yield True, stop, right, second, token_type(last[-1]) if last else "", gaps(text, start, end)
+
+
 def sentence_ends(text: str, model: Model | None, first: bool = False) -> list[int]:
     """End positions of a text's sentences."""
     ends = []
-    for start, end, kind in units(text):
-        if kind == "prose":
-            found = gaps(text, start, end)
-            ends += [g[0] for g, p in zip(found, posteriors(found, model, first)) if p > 0.5]
-        ends.append(_trimmed(text, start, end))
+    for _, end, _, _, _, found in parsed(text):
+        ends += [g[0] for g, p in zip(found, posteriors(found, model, first)) if p > 0.5]
+        ends.append(end)
     return ends
 
 
-def count_text(text: str, model: Model | None, first: bool, into: dict[str, Counter]) -> None:
-    """Adds a text's expected counts."""
-    for start, end, kind in units(text):
-        if kind != "prose":
-            continue
-        found = gaps(text, start, end)
-        right, second, _ = _next_type(text, start, end)
-        into["block"][right] += 1
+def count_block(right: str, second: str, last: str, found, model: Model | None, first: bool, into: dict[str, Counter]) -> None:
+    """Adds the expected counts of a block of prose."""
+    for kind in ("block", "right", "start"):
+        into[kind][right] += 1
+    if second:
+        into["start2"][f"{right}\t{second}"] += 1
+    for (_, left, right, second, odds), p in zip(found, posteriors(found, model, first)):
+        pair = f"{left}\t{right}"
         into["right"][right] += 1
-        into["start"][right] += 1
+        into["left"][left] += 1
+        into["ends"][left] += p
+        into["start"][right] += p
+        into["inner"][pair] += 1 - p
+        into["begun"][pair] += p
         if second:
-            into["start2"][f"{right}\t{second}"] += 1
-        for (_, left, right, second, odds), p in zip(found, posteriors(found, model, first)):
-            into["right"][right] += 1
-            into["left"][left] += 1
-            into["ends"][left] += p
-            into["start"][right] += p
-            into["inner"][f"{left}\t{right}"] += 1 - p
-            into["begun"][f"{left}\t{right}"] += p
-            if second:
-                into["start2"][f"{right}\t{second}"] += p
-                into["inner2"][f"{right}\t{second}"] += 1 - p
-            into["sure"][""] += odds >= 4.0
-        last = text[start:end].split()
-        if last:
-            into["left"][token_type(last[-1])] += 1
-            into["ends"][token_type(last[-1])] += 1
+            into["start2"][f"{right}\t{second}"] += p
+            into["inner2"][f"{right}\t{second}"] += 1 - p
+        into["sure"][""] += odds >= 4.0
+    if last:
+        into["left"][last] += 1
+        into["ends"][last] += 1
 
 
 _KINDS = ("block", "right", "left", "ends", "start", "inner", "begun", "start2", "inner2", "sure")
+_BLOCKS = "doc_id bigint, prose boolean, end_pos bigint, right string, second string, last string, ends array<bigint>, lefts array<string>, rights array<string>, seconds array<string>, odds array<double>"
+_LISTS = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64())
+
+
+def _block_rows(batches):
+    for batch in batches:
+        head, gap_columns = [[] for _ in range(6)], [[] for _ in range(5)]
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for *own, found in parsed(text):
+                for column, value in zip(head, (doc, *own)):
+                    column.append(value)
+                for column, values in zip(gap_columns, zip(*found) if found else [()] * 5):
+                    column.append(list(values))
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string())
+        columns = [pa.array(c, k) for c, k in zip(head, kinds)] + [pa.array(c, pa.list_(k)) for c, k in zip(gap_columns, _LISTS)]
+        yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _BLOCKS.split(", ")])
+
+
+def parsed_blocks(documents: DataFrame) -> DataFrame:
+    """The blocks of all documents with their open gaps: texts are read once, and training and decision work on this."""
+    texts = documents.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return texts.mapInArrow(_block_rows, _BLOCKS)
+
+
+def _gaps_of(batch):
+    """The gaps of each block of a batch, as ``gaps`` gives them."""
+    columns = [batch.column(k).to_pylist() for k in range(6, 11)]
+    return [list(zip(*own)) for own in zip(*columns)]
 
 
 def _count_rows(model: Model | None, first: bool):
     def run(batches):
         for batch in batches:
             counts = {k: Counter() for k in _KINDS}
-            for text in batch.column(0).to_pylist():
-                count_text(text, model, first, counts)
+            prose, right, second, last = (batch.column(k).to_pylist() for k in (1, 3, 4, 5))
+            for p, r, s, w, found in zip(prose, right, second, last, _gaps_of(batch)):
+                if p:
+                    count_block(r, s, w, found, model, first, counts)
             rows = [(kind, key, float(n)) for kind, own in counts.items() for key, n in own.items() if n > 0.001]
             columns = list(zip(*rows)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()))], names=["kind", "entry", "n"])
@@ -343,32 +400,37 @@ def _count_rows(model: Model | None, first: bool):
     return run
 
 
-def _round(texts: DataFrame, model: Model | None, first: bool) -> Model:
-    counts = texts.mapInArrow(_count_rows(model, first), "kind string, entry string, n double").groupBy("kind", "entry").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+def _round(blocks: DataFrame, model: Model | None, first: bool) -> Model:
+    counts = blocks.mapInArrow(_count_rows(model, first), "kind string, entry string, n double").groupBy("kind", "entry").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    counts = staged(counts, "counts")
     paired = F.col("kind").isin("inner", "begun", "start2", "inner2")
     kept = counts.where(~paired).orderBy(F.desc("n"), "kind", "entry").limit(MOST_TYPES).unionByName(counts.where(paired).orderBy(F.desc("n"), "kind", "entry").limit(MOST_PAIRS))
     own: dict[str, dict] = {k: {} for k in _KINDS}
-    for row in kept.toLocalIterator():
+    for row in kept.collect():  # bounded by the two limits
         own[row[0]][row[1]] = row[2]
-    blocks_ = sum(own["block"].values())
-    return Model(own, blocks_ / max(1.0, blocks_ + own["sure"].get("", 0.0)))
+    begun = sum(own["block"].values())
+    return Model(own, begun / max(1.0, begun + own["sure"].get("", 0.0)))
 
 
-def train(documents: DataFrame, rounds: int = ROUNDS) -> Model:
-    """The model after ``rounds`` rounds of expectation maximisation over all documents."""
-    texts = documents.where("text is not null").select("text")
-    model = _round(texts, None, True)
+def train_on_blocks(blocks: DataFrame, rounds: int = ROUNDS) -> Model:
+    model = _round(blocks, None, True)
     for k in range(rounds):
-        model = _round(texts, model, k == 0)
+        model = _round(blocks, model, k == 0)
     return model
 
 
+def train(documents: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The model after ``rounds`` rounds of expectation maximisation over all documents."""
+    return train_on_blocks(staged(parsed_blocks(documents), "blocks"), rounds)
+
+
 def _end_rows(model: Model):
     def run(batches):
         for batch in batches:
             ids, ends = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = sentence_ends(text, model)
+            for doc, end, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), _gaps_of(batch)):
+                own = [g[0] for g, p in zip(found, posteriors(found, model, False)) if p > 0.5]
+                own.append(end)
                 ids += [doc] * len(own)
                 ends += own
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ends, pa.int64())], names=["doc_id", "end_pos"])
@@ -381,6 +443,8 @@ def sentences(documents: DataFrame, model: Model | None = None) -> DataFrame:
 
     ``documents`` has doc_id bigint and text string. Without a model one is trained on the documents first.
     """
-    model = model or train(documents)
-    texts = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(_end_rows(model), "doc_id bigint, end_pos bigint").distinct()
+    blocks = parsed_blocks(documents)
+    if model is None:
+        blocks = staged(blocks, "blocks")
+        model = train_on_blocks(blocks)
+    return blocks.where("doc_id is not null").mapInArrow(_end_rows(model), "doc_id bigint, end_pos bigint").distinct()
