@@ -11,6 +11,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its scan has fewer parts than there are cores.
+
+    A small table in one file is one task otherwise, however much each row costs; a large one has parts enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def contract_files(records: DataFrame) -> DataFrame:
     """One row per element of ``records.contracts``: record_id, file_id, relative_path, clean_source.
 
@@ -18,7 +27,7 @@ def contract_files(records: DataFrame) -> DataFrame:
     reduced each text, so that no text is shuffled for it. Null or empty arrays give no row.
     """
     element = F.explode("contracts").alias("element")
-    return records.select(F.col("id").alias("record_id"), element).select(
+    return spread(records).select(F.col("id").alias("record_id"), element).select(
         "record_id",
         F.col("element.file_id").alias("file_id"),
         F.col("element.relative_path").alias("relative_path"),
@@ -29,7 +38,7 @@ def contract_files(records: DataFrame) -> DataFrame:
 def spec_texts(records: DataFrame) -> DataFrame:
     """One row per element of ``records.specs``: record_id, spec_id, relative_path, text."""
     element = F.explode("specs").alias("element")
-    return records.select(F.col("id").alias("record_id"), element).select(
+    return spread(records).select(F.col("id").alias("record_id"), element).select(
         "record_id",
         F.col("element.spec_id").alias("spec_id"),
         F.col("element.relative_path").alias("relative_path"),
