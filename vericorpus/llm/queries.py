@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vericorpus.llm import handwritten, leakage, licenses, mixing, near_duplicates, sentences, spans, splitting
-from vericorpus.sources.tables import contract_files, table
+from vericorpus.sources.tables import contract_files, spread, table
 
 
 def _not_handwritten(spark: SparkSession, d: str) -> DataFrame:
@@ -32,7 +32,7 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession, d: str) -> DataFrame:
-    return spans.shared_spans(spans.span_items(table(spark, d, "records"), table(spark, d, "error_history")))
+    return spans.shared_spans(spans.span_items(table(spark, d, "records"), spread(table(spark, d, "error_history"))))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -51,36 +51,36 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return licenses.licenses(table(spark, d, "records"), table(spark, d, "license_ids"))
+    return licenses.licenses(spread(table(spark, d, "records")), table(spark, d, "license_ids"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+    return leakage.leaks(spread(table(spark, d, "documents")), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
 
 def p6_matches(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaks(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.without_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "n_chars")
+    return leakage.without_leaks(spread(table(spark, d, "documents")), table(spark, d, "eval_items")).select("doc_id", "n_chars")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    sized = mixing.plan(mixing.token_counts(table(spark, d, "documents")), table(spark, d, "mix_targets"))
+    sized = mixing.plan(mixing.token_counts(spread(table(spark, d, "documents"))), table(spark, d, "mix_targets"))
     return sized.where("missed").select("source")
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+    return mixing.mix(spread(table(spark, d, "documents")), table(spark, d, "mix_targets"))[0]
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+    return mixing.mix(spread(table(spark, d, "documents")), table(spark, d, "mix_targets"))[1]
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return sentences.sentences(table(spark, d, "documents"))
+    return sentences.sentences(spread(table(spark, d, "documents")))
 
 
 def queries() -> dict:
