@@ -87,3 +87,14 @@ def test_words_are_ascii_and_keep_case():
     counts = np.bincount(owner, minlength=6).tolist()
     assert counts == [1, 1, 2, 2, 0, 1]
     assert shingle[owner == 0][0] in shingle[owner == 3] and shingle[owner == 0][0] != shingle[owner == 1][0]
+
+
+def test_long_texts_are_worked_in_parts():
+    rng = random.Random(6)
+    for _ in range(20):
+        text = "".join(rng.choice(["ab", "c", " ", "; ", "é", "longword_1", "\n"]) for _ in range(rng.randrange(0, 400)))
+        whole = nd.shingle_sets([text])[1]
+        for limit in (7, 40, 200):
+            assert nd.long_set(text, 5, limit).tolist() == whole.tolist()
+            assert [s.tolist() for _, s in nd.text_sets([text, "a b c d e", text], 5, limit)] == [whole.tolist(), nd.shingle_sets(["a b c d e"])[1].tolist(), whole.tolist()]
+    assert len(nd.long_set("x" * 3_000_000 + " b c d e")) == 1

@@ -39,7 +39,11 @@ def items():
 
 
 @pytest.mark.parametrize("most", [1024, 1])
-def test_against_all_windows(spark, items, most):
+@pytest.mark.parametrize("limit", [None, 70])
+def test_against_all_windows(spark, items, most, limit, monkeypatch):
+    if limit:  # long texts in parts
+        whole = spans._window_rows
+        monkeypatch.setattr(spans, "_window_rows", lambda span: whole(span, limit))
     frame = spark.createDataFrame(items + items[:4], "item_kind string, item_id int, owner string, text string").selectExpr("*", "'x' as signature", "1 as first")
     expected = brute([(k, i, o or "", t) for k, i, o, t in items], 40)
     got = {(r["item_kind"], r["item_id"]): (r["shared_chars"], r["passages"]) for r in spans.shared_spans(frame, 40, most).collect()}

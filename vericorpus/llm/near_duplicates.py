@@ -29,12 +29,14 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vericorpus.llm._hashing import Rolling, blocks, mix
+from vericorpus.llm._hashing import BLOCK_CHARS, Rolling, blocks, mix
 from vericorpus.session import staged
 
 #: Words in a shingle, and the least similarity of a link.
@@ -79,6 +81,40 @@ def shingle_sets(texts: list[str], words: int = SHINGLE) -> tuple[np.ndarray, np
     return owner[new], total[new]
 
 
+_WORDS = re.compile(r"[A-Za-z0-9_]+")
+
+
+def long_set(text: str, words: int = SHINGLE, limit: int = BLOCK_CHARS) -> np.ndarray:
+    """The sorted distinct shingles of one text, worked part by part; parts end between words and share ``words - 1`` of them."""
+    found, a = [], 0
+    while a < len(text):
+        b = min(len(text), a + limit)
+        while b < len(text) and text[b].isascii() and (text[b].isalnum() or text[b] == "_"):
+            b += 1
+        found.append(np.unique(shingle_sets([text[a:b]], words)[1]))
+        starts = [m.start() for m in _WORDS.finditer(text, a, b)]
+        last = starts[-(words - 1)] if len(starts) >= words else a
+        if b == len(text):
+            break
+        if last > a:
+            a = last
+        else:  # fewer words than a shingle has in so long a part: take more at a time
+            limit *= 2
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
+def text_sets(texts: list[str], words: int = SHINGLE, limit: int = BLOCK_CHARS):
+    """(index, sorted distinct shingles) of each text."""
+    for a, b in blocks([len(t) for t in texts], limit):
+        if b - a == 1 and len(texts[a]) > limit:
+            yield a, long_set(texts[a], words, limit)
+            continue
+        owner, shingle = shingle_sets(texts[a:b], words)
+        bounds = np.searchsorted(owner, np.arange(b - a + 1))
+        for k in range(b - a):
+            yield a + k, shingle[bounds[k] : bounds[k + 1]]
+
+
 def band_end(band: int) -> int:
     return FIRST_BAND * BAND_RATIO**band
 
@@ -112,20 +148,15 @@ def _roles(size: int, threshold: float):
 def _key_rows(words: int, threshold: float):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in blocks([len(t) for t in texts]):
-                owner, shingle = shingle_sets(texts[a:b], words)
-                bounds = np.searchsorted(owner, np.arange(b - a + 1))
-                rows = []
-                for k in range(b - a):
-                    own = shingle[bounds[k] : bounds[k + 1]]
-                    for band, most in _roles(len(own), threshold) if len(own) else ():
-                        keys = _keys(own, band)
-                        rows.append((ids[a + k], (band << 24) + max(1, len(keys) - most), keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
-                    names=["id", "role", "keys"],
-                )
+            ids, rows = batch.column(0).to_pylist(), []
+            for k, own in text_sets(batch.column(1).to_pylist(), words):
+                for band, most in _roles(len(own), threshold) if len(own) else ():
+                    keys = _keys(own, band)
+                    rows.append((ids[k], (band << 24) + max(1, len(keys) - most), keys.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
+                names=["id", "role", "keys"],
+            )
 
     return run
 
@@ -135,19 +166,14 @@ def _set_rows(words: int):
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in blocks([len(t) for t in texts]):
-                owner, shingle = shingle_sets(texts[a:b], words)
-                bounds = np.searchsorted(owner, np.arange(b - a + 1))
-                rows = []
-                for k in range(b - a):
-                    own = shingle[bounds[k] : bounds[k + 1]]
-                    if len(own):
-                        bits = 1 << max(6, int(2 * len(own) - 1).bit_length())
-                        odd = (np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-                        rows.append((ids[a + k], len(own), np.packbits(odd).tobytes(), own.tobytes()))
-                columns = list(zip(*rows)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["id", "size", "sketch", "shingles"])
+            ids, rows = batch.column(0).to_pylist(), []
+            for k, own in text_sets(batch.column(1).to_pylist(), words):
+                if len(own):
+                    bits = 1 << max(6, int(2 * len(own) - 1).bit_length())
+                    odd = (np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+                    rows.append((ids[k], len(own), np.packbits(odd).tobytes(), own.tobytes()))
+            columns = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["id", "size", "sketch", "shingles"])
 
     return run
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vericorpus.llm._hashing import Rolling, blocks, code_points, sliding_minimum
+from vericorpus.llm._hashing import BLOCK_CHARS, Rolling, blocks, code_points, sliding_minimum
 from vericorpus.session import staged
 
 #: Least length of a reported passage, in characters.
@@ -63,13 +63,30 @@ def compact_windows(texts: list[str], span: int) -> tuple[np.ndarray, ...]:
     return owner[new], grams[root], rolling.slices(first, last + span), first - offsets[owner[new]], last - first + 1
 
 
-def _window_rows(span: int):
+def text_parts(texts: list[str], span: int, limit: int = BLOCK_CHARS) -> tuple[list[int], list[int], list[str]]:
+    """Texts longer than ``limit`` in parts that share ``span - 1`` characters, so that every start lies in one part.
+
+    Returns for each part the text's index, the part's place in it and the part itself. A window that is cut by
+    a part's end becomes two; its region then differs from an uncut copy's, and the verification settles both.
+    """
+    which, at, parts = [], [], []
+    for k, text in enumerate(texts):
+        for a in range(0, max(1, len(text) - span + 1), limit):
+            which.append(k)
+            at.append(a)
+            parts.append(text if len(text) <= limit else text[a : a + limit + span - 1])
+    return which, at, parts
+
+
+def _window_rows(span: int, limit: int = BLOCK_CHARS):
     def run(batches):
         for batch in batches:
             kinds, ids, owners, texts = (batch.column(k).to_pylist() for k in range(4))
+            source, place, texts = text_parts(texts, span, limit)
+            source, place = np.array(source, np.int64), np.array(place, np.int64)
             for a, b in blocks([len(t) for t in texts]):
                 which, signature, region, first, starts = compact_windows(texts[a:b], span)
-                which = which + a
+                first, which = first + place[which + a], source[which + a]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(kinds, pa.string()).take(pa.array(which)),
