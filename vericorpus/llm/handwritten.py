@@ -48,7 +48,7 @@ _GENERATED = re.compile(
     """
 )
 _JOINED = re.compile(r"(?im)^\s*(//|/\*)\s*(sources?\ flattened|file:?\s+\S+\.sol|=+\s*\S+\.sol\s*=+)")
-_COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|//[^\n]*|/\*.*?\*/""", re.S)
+_COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|//[^\n]*|/\*.*?(?:\*/|\Z)""", re.S)
 _STRING = re.compile(r'"[^"\n]*"?|\'[^\'\n]*\'?')
 _NUMBER = re.compile(r"\b(?:0x[0-9a-fA-F]+|\d[\d_]*(?:\.\d+)?(?:e\d+)?)\b")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")

@@ -61,7 +61,7 @@ _END = r"(?:\.(?=\s|$|\*)|;|,\s+(?:without|with)\b|\s*\(\d{4}\)|\s*\*/|$)"
 _TAG = re.compile(r"(?i)(?:spdx-license-identifier\s*:?|@license\s|@custom:license\s|(?<![\w-])licen[cs]e\s*[:=])\s*([^\n]*?)\s*(?:\*/|$)", re.M)
 _PROSE = re.compile(rf"(?i)(?:licen[cs]ed under|distributed under|released under|file under|available under|on the terms of|under the terms of|sous licence|folgender lizenz:|bajo la licencia|known as:)\s+(?:the\s+|la\s+)?([^\n]*?){_END}", re.M)
 _HINT = re.compile(r"(?i)licen[cs]|lizenz|\bterms\b|rights reserved|proprietary|closed source|redistribution|known as:|\bunder\s")
-_COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(//[^\n]*|/\*.*?\*/)""", re.S)
+_COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(//[^\n]*|/\*.*?(?:\*/|\Z))""", re.S)
 _MARKS = re.compile(r"(?m)^[ \t]*(?:/{2,}!?|/\*+!?|\*+(?!/)|#+)[ \t]?|\*+/[ \t\r]*$")
 _VERSIONED = re.compile(r"(?i)(-only|-or-later|\+)$")
 _WORDS = re.compile(r"[^\W_]+")

@@ -31,6 +31,8 @@ from vericorpus.session import staged
 
 #: Bounds of the model, rounds of training, and the least frequency of an entry.
 MOST_TYPES, MOST_PAIRS, ROUNDS, LEAST_COUNT = 50_000, 200_000, 2, 3
+#: Characters within which the opening of a quotation is looked for.
+REACH = 2000
 
 _FENCE = re.compile(r"^\s{0,3}(`{3,}|~{3,})")
 _HEADING = re.compile(r"^\s{0,3}#{1,6}(\s|$)")
@@ -173,7 +175,7 @@ def gaps(text: str, start: int, end: int):
     places: dict[int, tuple[int, int]] = {}
     for m in _STOP.finditer(text, start, end):
         a, b = m.start(), m.end()
-        if text[b : b + 1] in ("“", "‘") and b < end and text.rfind("„" if text[b] == "“" else "‚", start, b) > text.rfind(text[b], start, b):
+        if text[b : b + 1] in ("“", "‘") and b < end and text.rfind("„" if text[b] == "“" else "‚", max(start, b - REACH), b) > text.rfind(text[b], max(start, b - REACH), b):
             b += len(re.match(rf"[“‘{_CLOSING}]+", text[b:end]).group(0))  # it closes a quotation that began low
         stop = _TERMINALS.match(m.group(0)).group(0)
         after = text[b : b + 1] if b < end else ""
@@ -183,6 +185,7 @@ def gaps(text: str, start: int, end: int):
             continue
         places[b] = (a, len(stop))
     out = []
+    over = _trimmed(text, start, end)
     words = [(m.start(), m.end()) for m in _WORD.finditer(text, start, end)] if spaced else []
     if spaced:
         for (_, left), (right, stop) in zip(words, words[1:]):
@@ -190,7 +193,7 @@ def gaps(text: str, start: int, end: int):
                 places[left] = (-1, 0)
     for b in sorted(places):
         a, size = places[b]
-        if not text[b:end].strip():
+        if b >= over:
             continue
         right, second, case = _next_type(text, b, end)
         low = max(start, b - 60)
@@ -206,7 +209,7 @@ def gaps(text: str, start: int, end: int):
         wide = any(c in _WIDE for c in stop)
         if wide and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
             # a quotation that a colon brings in ends its sentence, another one most often goes on
-            opened = max(text.rfind(q, start, a) for q in "“「『‘《（")
+            opened = max(text.rfind(q, max(start, a - REACH), a) for q in "“「『‘《（")
             odds = 6.0 if not closed else 1.5 if opened > start and text[opened - 1] in "：:" else -1.0
             left = stop + (text[a + size : b] if closed else "")
         elif strong:
