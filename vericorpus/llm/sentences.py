@@ -143,6 +143,7 @@ def units(text: str):
 
 def _next_type(text: str, at: int, end: int) -> tuple[str, str, str]:
     """Type of what follows a gap, of what follows that, and its first letter's case (upper, lower, ident, digit, none)."""
+    end = min(end, at + 400)  # scripts without spaces make one word of a paragraph
     m = _WORD.search(text, at, end)
     if not m:
         return "</s>", "", "none"
