@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 MOST, OVERLAP = 6000, 200
 
 #: Penalties of a cut by what ends there.
-BLOCK_END, BLANK_LINE, STATEMENT_END, LINE_END, TOKEN_END, ANYWHERE = 0.0, 0.05, 0.4, 0.8, 4.0, 9.0
+BLOCK_END, BLANK_LINE, STATEMENT_END, LINE_END, TOKEN_END, ANYWHERE = 0.0, 0.1, 1.0, 2.0, 6.0, 12.0
 
 _TOKEN_END = re.compile(r"[;,{}()\]\s>]+")
 
