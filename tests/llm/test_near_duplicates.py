@@ -54,6 +54,16 @@ def test_all_pairs(spark, texts, most):
     assert set(pairs) == brute(texts)
 
 
+def test_a_crowd_of_texts_of_one_shingle(spark):
+    crowd = [(k, "pragma solidity" + " " * (k + 1) + "^0.8.20;") for k in range(300)]
+    more = [(k, f"pragma{' ' * (k - 299)}solidity ^0.8.20; uint") for k in range(300, 303)]
+    frame = spark.createDataFrame(crowd + more, "id bigint, text string")
+    links, classes = nd.near_duplicate_links(frame)
+    pairs = [tuple(r) for r in nd.expand_links(links, classes, frame).collect()]
+    assert len(pairs) == len(set(pairs)) == 300 * 299 // 2 + 3
+    assert set(pairs) == brute(crowd + more)
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "id bigint, text string")
     links, classes = nd.near_duplicate_links(frame)

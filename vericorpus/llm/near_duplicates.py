@@ -13,13 +13,15 @@ keys of the join:
   has fewer than ``K - d`` common keys (most of a corpus);
 * of the rest only the rarest ``d + 1`` keys need to meet (prefix of the order by
   frequency), so boilerplate is not joined on; a key that still is in more than
-  ``most_in_a_group`` sets is only joined together with a second key;
+  ``most_in_a_group`` sets is only joined together with a second key, unless the
+  sets are so small that a second common key is not certain;
 * candidates are held against a wide bit sketch, whose Hamming distance is a lower
   bound of ``d``, and the rest are verified on the shingles themselves.
 
 Sets of two bands meet in the lower band, where the larger set deals its
-shingles a second time. Texts that are equal are represented by one of them; the
-result has links between representatives and the members of each.
+shingles a second time. Texts that are equal, and texts of equal shingle sets, are
+represented by one of them; the result has links between representatives and the
+members of each.
 
 Cases: null texts and texts of fewer than five words have no links (equal texts of
 at least five words are linked through their class); rows delivered twice count once;
@@ -223,6 +225,13 @@ def text_classes(texts: DataFrame) -> DataFrame:
     return staged(prints.join(heads, ["x", "y", "n"]).select("id", "class_id"), "classes")
 
 
+def set_classes(sets: DataFrame) -> DataFrame:
+    """``(id, class_id)`` of each set of shingles: equal sets share the least id of theirs."""
+    prints = sets.select("id", F.xxhash64("shingles").alias("x"), F.xxhash64("shingles", F.lit(1)).alias("y"), "size").distinct()
+    heads = prints.groupBy("x", "y", "size").agg(F.min("id").alias("class_id"))
+    return staged(prints.join(heads, ["x", "y", "size"]).select("id", "class_id"), "same")
+
+
 def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words: int = SHINGLE, most_in_a_group: int = 256) -> tuple[DataFrame, DataFrame]:
     """Links (id_a < id_b, similarity) between class representatives, and the classes (id, class_id).
 
@@ -245,14 +254,20 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
         keys.join(common.hint("shuffle_hash"), "key")
         .groupBy("id", "role").agg(F.collect_set(entry).alias("entries"))
         .where(F.size("entries") >= prefix)
-        .select("id", F.slice(F.array_sort("entries"), 1, F.size("entries") - prefix + 2).alias("entries"))
+        .select("id", (prefix == 1).alias("one"), F.slice(F.array_sort("entries"), 1, F.size("entries") - prefix + 2).alias("entries"))
     )
     lists = staged(lists, "prefixes")
 
-    rows = lists.select("id", F.explode(F.transform("entries", key_of)).alias("key"))
+    left = staged(lists.select("id").distinct(), "left")
+    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), "id bigint, size int, sketch binary, shingles binary"), "sets")
+    same = set_classes(sets)
+    lists = lists.join(same.where("id = class_id").select("id"), "id", "left_semi")
+
+    rows = lists.select("id", "one", F.explode(F.transform("entries", key_of)).alias("key"))
     crowds = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     rows = rows.join(crowds, "key")
-    single = rows.where(F.col("members") <= most_in_a_group).select("key", F.lit(0).cast("bigint").alias("second"), "id")
+    # two sets of which only one common key is certain meet at a crowded key too; equal sets are one by now, so such keys hold few of them
+    single = rows.where((F.col("members") <= most_in_a_group) | F.col("one")).select("key", F.lit(0).cast("bigint").alias("second"), "id")
     crowded = rows.where(F.col("members") > most_in_a_group).select("id", "key")
     double = (
         crowded.join(lists.select("id", F.explode(F.transform("entries", key_of)).alias("second")), "id")
@@ -262,8 +277,6 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     other = meetings.select("key", "second", F.col("id").alias("id_b"))
     pairs = meetings.withColumnRenamed("id", "id_a").join(other, ["key", "second"]).where("id_a < id_b").select("id_a", "id_b").distinct()
 
-    left = staged(lists.select("id").distinct(), "left")
-    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), "id bigint, size int, sketch binary, shingles binary"), "sets")
     small = sets.select("id", "size", "sketch").distinct()
     one, two = (small.select(*(F.col(c).alias(f"{c}_{s}") for c in small.columns)) for s in "ab")
     sized = (
@@ -275,7 +288,9 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     full = sets.select("id", "shingles")
     one, two = (full.select(*(F.col(c).alias(f"{c}_{s}") for c in full.columns)) for s in "ab")
     links = near.join(one, "id_a").join(two, "id_b").select("id_a", "id_b", "shingles_a", "shingles_b").mapInArrow(_verified_pairs(threshold), "id_a bigint, id_b bigint, similarity double").distinct()
-    return links, classes
+    further = same.select(F.col("id").alias("class_id"), F.col("class_id").alias("set_class"))
+    classes = classes.join(further, "class_id", "left").select("id", F.coalesce("set_class", "class_id").alias("class_id"))
+    return links, staged(classes, "set-classes")
 
 
 def expand_links(links: DataFrame, classes: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
