@@ -62,3 +62,15 @@ def test_operator(spark):
     assert got == {1: "vendored", 2: "vendored", 3: "vendored", 10: "minified"}
     assert hw.not_handwritten(files.where("false"), packages).count() == 0
     assert {r["file_id"] for r in hw.not_handwritten(files, packages.where("false")).collect()} == {1, 2, 3, 10}
+
+
+def test_widely_renamed_files(spark):
+    lib, other = third_party(1), third_party(2)
+    names = ("Lib", "LibV2", "FlatLib", "LibCopy", "OurLib")
+    rows = [(k, f"node_modules/basic-lib/{n}.sol", lib + f"\nuint256 constant MARK_OF_{n} = {k};\n" * (k % 2)) for k, n in enumerate(names)]
+    half = "\n".join(lib.split("\n")[:28]) + "\n" + "\n".join(third_party(3).split("\n")[3:24])
+    less = "\n".join(lib.split("\n")[:18]) + "\n" + "\n".join(third_party(4).split("\n")[3:40])
+    rows += [(10, "src/Mine.sol", lib.replace("contract Lib", "contract Ours")), (11, "src/Half.sol", half), (12, "src/Less.sol", less), (13, "src/Other.sol", other)]
+    files = spark.createDataFrame(rows, "file_id bigint, relative_path string, clean_source string")
+    got = {r["file_id"]: r["containment"] for r in hw.not_handwritten(files, spark.createDataFrame([("basic-lib",)], "package string")).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 10, 11} and got[10] == 1.0 and 0.5 <= got[11] < 0.7

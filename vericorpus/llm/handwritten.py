@@ -2,8 +2,8 @@
 
 Method. Vendored copies: the lines of every file known to come from a third party (its
 directory names a known package, or a header says where it was taken from)
-form an inverted index of line hashes to origins; lines that several origins share are left
-out as not rare. The exact containment of a file's own lines in an origin decides, in whichever repository
+form an inverted index of line hashes to origins. A file's rarest lines find the origins that may
+hold enough of it (prefix filter), and the exact containment of all its own lines in such an origin decides, in whichever repository
 and directory the file lies, so edited and renamed copies are found as well. All other kinds follow from
 the composition of a file's own tokens and lines: share of characters in overlong lines, share of lines
 of the commonest shape and whether that shape carries literals, declarations without a body or a comment,
@@ -29,8 +29,8 @@ from vericorpus.session import staged
 
 #: Least share of a file's own lines that an origin holds for the file to be a copy of it.
 CONTAINED = 0.5
-#: Most origins of a rare line, and least characters of an indexed line.
-RARE_ORIGINS, LEAST_LINE = 2, 20
+#: Least characters of an indexed line.
+LEAST_LINE = 20
 #: A line is overlong from here on; a file is minified or a blob if this share of its characters lies in such lines.
 OVERLONG, OVERLONG_SHARE = 300, 0.6
 #: Share of a file's lines of one shape with a literal from which it is a table of data.
@@ -153,7 +153,7 @@ def _file_rows(packages: frozenset[str], least_line: int):
     return run
 
 
-def not_handwritten(files: DataFrame, packages: DataFrame, contained: float = CONTAINED, rare_origins: int = RARE_ORIGINS, least_line: int = LEAST_LINE) -> DataFrame:
+def not_handwritten(files: DataFrame, packages: DataFrame, contained: float = CONTAINED, least_line: int = LEAST_LINE) -> DataFrame:
     """The files that are generated, minified, vendored or data: file_id, kind, origin (of vendored ones) and containment.
 
     ``files`` has file_id bigint, relative_path string and clean_source string, ``packages`` (a list kept by hand) package string.
@@ -165,13 +165,26 @@ def not_handwritten(files: DataFrame, packages: DataFrame, contained: float = CO
         .mapInArrow(_file_rows(known, least_line), _FILES),
         "files",
     )
-    index = seen.where("origin is not null").select("origin", F.explode("lines").alias("line")).distinct()
-    rare = index.groupBy("line").agg(F.count("*").alias("origins")).where(F.col("origins") <= rare_origins).select("line")
-    index = staged(index.join(rare, "line"), "index")
+    lines = seen.where("origin is not null").select("origin", F.explode("lines").alias("line")).distinct()
+    # origins of equal line sets are one
+    merged = lines.groupBy("origin").agg(F.array_sort(F.collect_list("line")).alias("lines")).groupBy("lines").agg(F.max("origin").alias("origin"))
+    index = staged(merged.select("origin", F.explode("lines").alias("line")), "index")
+    spread = index.groupBy("line").agg(F.count("*").alias("origins"))
     open_files = seen.where("kind is null and own_lines > 0")
+    need = F.ceil(F.lit(contained) * F.col("own_lines")).cast("int")
+    # only files of which enough lines have an origin at all; rare lines stand first
+    known = staged(
+        open_files.select("file_id", "own_lines", F.explode("lines").alias("line")).join(spread, "line")
+        .groupBy("file_id").agg(F.max("own_lines").alias("own_lines"), F.array_sort(F.collect_set(F.struct("origins", "line"))).alias("own"))
+        .where(F.size("own") >= F.greatest(need, F.lit(1))),
+        "known",
+    )
+    # of any so many lines, one that an origin of enough hits holds is among the rarest size - need + 1
+    rarest = known.select("file_id", F.explode(F.slice("own", 1, F.size("own") - F.greatest(need, F.lit(1)) + 1)["line"]).alias("line"))
+    candidates = rarest.join(index, "line").select("file_id", "origin").distinct()
     hits = (
-        open_files.select("file_id", "own_lines", F.explode("lines").alias("line")).join(index, "line")
-        .groupBy("file_id", "origin").agg(F.countDistinct("line").alias("hits"), F.max("own_lines").alias("own_lines"))
+        known.select("file_id", "own_lines", F.explode(F.col("own")["line"]).alias("line")).join(candidates, "file_id").join(index, ["origin", "line"])
+        .groupBy("file_id", "origin").agg(F.count("*").alias("hits"), F.max("own_lines").alias("own_lines"))
         .where(F.col("hits") >= contained * F.col("own_lines"))
         .groupBy("file_id").agg(F.max(F.struct((F.col("hits") / F.col("own_lines")).alias("containment"), "origin")).alias("best"))
         .select("file_id", F.lit("vendored").alias("kind"), F.col("best.origin").alias("origin"), F.round("best.containment", 6).alias("containment"))
