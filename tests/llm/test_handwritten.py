@@ -74,3 +74,16 @@ def test_widely_renamed_files(spark):
     files = spark.createDataFrame(rows, "file_id bigint, relative_path string, clean_source string")
     got = {r["file_id"]: r["containment"] for r in hw.not_handwritten(files, spark.createDataFrame([("basic-lib",)], "package string")).collect()}
     assert set(got) == {0, 1, 2, 3, 4, 10, 11} and got[10] == 1.0 and 0.5 <= got[11] < 0.7
+
+
+def test_notes_stand_anywhere():
+    license_text = "".join(f"// line {k} of a license that takes many lines before anything else is said\n" for k in range(60))
+    code = BODY.format(1)
+    for text in (license_text + "// @generated\n" + code, "/*\n" + license_text.replace("//", " ") + "   DO NOT EDIT.\n*/\n" + code, code + "\n// Code generated by abigen 1.2. DO NOT EDIT.\n"):
+        assert hw.composition(text) == "generated"
+    assert hw.composition(license_text + code * 9 + "// do not edit the pool while a stake is pending\n") is None
+    packages = frozenset({"basic-lib"})
+    assert hw.origin("src/X.sol", license_text + "// Copied from other-lib v1.2\n" + code, packages) == "other-lib"
+    assert hw.origin("src/X.sol", code * 20 + "\n// Copied from basic-lib v1.2\n", packages) == "basic-lib"
+    assert hw.origin("src/X.sol", code * 20 + "\n// this function was copied from basic-lib v1.2\n", packages) is None
+    assert hw.origin("src/X.sol", code * 20 + "\n// the share taken from bucket 3\n", packages) is None

@@ -7,7 +7,7 @@ hold enough of it (prefix filter), and the exact containment of all its own line
 and directory the file lies, so edited and renamed copies are found as well. All other kinds follow from
 the composition of a file's own tokens and lines: share of characters in overlong lines, share of lines
 of the commonest shape and whether that shape carries literals, declarations without a body or a comment,
-joined files, and the header notes that generators leave.
+joined files, and the notes that generators leave in any comment.
 
 Cases: null and empty texts are hand-written (nothing speaks against them); a null path is a
 file without a directory; license files, manifests and readmes are never reported; rows delivered twice
@@ -38,7 +38,7 @@ TABLE_SHARE, TABLE_LINES = 0.6, 6
 
 _ASIDE = re.compile(r"(?i)(?!.*\.(?:sol|[jt]sx?|vy)$)^(licen[cs]e|copying|unlicen[cs]e|notice)([-._].*)?$|^package(-lock)?\.json$|^readme([-._].*)?$")
 
-#: Header notes of generators, in the languages of the corpus.
+#: Notes of generators, in the languages of the corpus.
 _GENERATED = re.compile(
     r"""(?ix)
     \bauto-?\s?generated\b | @generated\b | @@codegen\b | \bcode\ generated\b | \bgenerated\ (by|from|with|on|using)\ +[`'"<]?[\w.-]*(\d|gen|cli|\.\w)
@@ -49,6 +49,11 @@ _GENERATED = re.compile(
 )
 _JOINED = re.compile(r"(?im)^\s*(//|/\*)\s*(sources?\ flattened|file:?\s+\S+\.sol|=+\s*\S+\.sol\s*=+)")
 _COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|//[^\n]*|/\*.*?(?:\*/|\Z)""", re.S)
+_LEADING = re.compile(r"(?:\s+|//[^\n]*|/\*.*?(?:\*/|\Z))*+", re.S)
+_MARKED = re.compile(r"(?m)^[ \t]*(?:\#|<!--|//|/\*|\*).*")
+#: What stands before a note on its line: a comment mark; the part of a file that alone the note is about.
+_COMMENTED = re.compile(r"//|/\*|^\s*(\*|#|<!--)")
+_PART = re.compile(r"(?i)\b(function|modifier|method|struct|event|error|constant|snippet|formula|logic|algorithm|line|part)s?\b")
 _STRING = re.compile(r'"[^"\n]*"?|\'[^\'\n]*\'?')
 _NUMBER = re.compile(r"\b(?:0x[0-9a-fA-F]+|\d[\d_]*(?:\.\d+)?(?:e\d+)?)\b")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
@@ -66,11 +71,11 @@ def composition(text: str | None) -> str | None:
     if not text or not text.strip():
         return None
     lines = text.splitlines()
-    head = "\n".join(line for line in lines[:15] if re.match(r"\s*(//|/\*|\*|#|<!--)", line))[:3000]
-    if _GENERATED.search(head):
+    comments: list[str] = []
+    bare = _COMMENT.sub(lambda m: m.group(1) or comments.append(m.group(0)) or " ", text)
+    if any(map(_GENERATED.search, comments)) or any(map(_GENERATED.search, _MARKED.findall(text))):
         return "generated"
     overlong = sum(len(line) for line in lines if len(line) >= OVERLONG)
-    bare = _COMMENT.sub(lambda m: m.group(1) or " ", text)
     if overlong >= OVERLONG_SHARE * len(text):
         literals = sum(len(m) for m in _STRING.findall(bare) if len(m) > 200)
         if bare.lstrip()[:1] in "[{" or literals > 0.5 * len(text):
@@ -118,8 +123,15 @@ def origin(path: str | None, text: str | None, packages: frozenset[str]) -> str
         after = directories[directories.index("node_modules") + 1 :]
         if after:
             return after[0]
-    found = _ORIGIN.search((text or "")[:2000])
-    return package_key(found.group(1) or found.group(2)) if found else None
+    text = text or ""
+    for found in _ORIGIN.finditer(text):
+        name, before = package_key(found.group(1) or found.group(2)), text[text.rfind("\n", 0, found.start()) + 1 : found.start()]
+        # behind the header a known package or a version has to be named, and not as the source of a part
+        if found.end() <= max(2000, _LEADING.match(text).end()) or (
+            _COMMENTED.search(before) and not _PART.search(before) and (name in packages or re.search(r"(?i)(\bv|tag\s*)\d$", found.group(0)))
+        ):
+            return name
+    return None
 
 
 _FILES = "file_id bigint, kind string, origin string, own_lines int, lines array<bigint>"
