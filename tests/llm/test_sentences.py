@@ -102,3 +102,11 @@ def test_posteriors_are_probabilities(model):
     text = "One two. Three Inc. The four. ค่าสูง 3 เป็น"
     found = se.gaps(text, 0, len(text))
     assert all(0 <= p <= 1 for p in se.posteriors(found, model, False)) and se.posteriors([], model, False) == []
+
+
+def test_the_model_keeps_all_counts(spark):
+    rows = [(k, f"The rule {w} holds. Nobody doubts {w}.") for k, w in enumerate(("alpha", "beta", "gamma"))]
+    c = se.train(spark.createDataFrame(rows, "doc_id bigint, text string"), 1).c
+    for word in ("alpha", "beta", "gamma"):
+        assert c["ends"][f"{word}."] == 1
+    assert abs(c["begun"]["holds.\tNobody"] + c["inner"]["holds.\tNobody"] - 3) < 1e-6

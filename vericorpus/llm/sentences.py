@@ -9,8 +9,8 @@ posteriors of each round are the counts of the next. The posteriors of the last
 allows, decide. In scripts that separate sentences by spaces alone every space
 before a word of the script is open, and the model decides by itself.
 
-The counts run over all documents as Spark aggregations; what the model keeps is bounded (``MOST_TYPES``,
-``MOST_PAIRS`` most frequent entries), so it can go to every task.
+The counts run over all documents as Spark aggregations; the model keeps all of them and
+goes to every task, so the driver and the tasks need memory for the distinct types and pairs of the corpus.
 
 Units: a heading line and a list item are one unit each; fenced code belongs to none; a blank line ends a unit, a
 single line break does not. Cases: null and blank texts have no sentence; documents without an id are left out; rows delivered
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from vericorpus.session import staged
 
-#: Bounds of the model, rounds of training, and the least frequency of an entry.
-MOST_TYPES, MOST_PAIRS, ROUNDS, LEAST_COUNT = 50_000, 200_000, 2, 3
+#: Rounds of training, and the least frequency from which a type is evidence.
+ROUNDS, LEAST_COUNT = 2, 3
 #: Characters within which the opening of a quotation is looked for.
 REACH = 2000
 
@@ -236,7 +236,7 @@ def gaps(text: str, start: int, end: int):
 
 
 class Model:
-    """Counts of a round, bounded; an empty one knows nothing."""
+    """All counts of a round; an empty one knows nothing."""
 
     def __init__(self, counts: dict[str, dict], rate: float = 0.25):
         self.c = counts
@@ -397,7 +397,7 @@ def _count_rows(model: Model | None, first: bool):
             for p, r, s, w, found in zip(prose, right, second, last, _gaps_of(batch)):
                 if p:
                     count_block(r, s, w, found, model, first, counts)
-            rows = [(kind, key, float(n)) for kind, own in counts.items() for key, n in own.items() if n > 0.001]
+            rows = [(kind, key, float(n)) for kind, own in counts.items() for key, n in own.items() if n > 0]
             columns = list(zip(*rows)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()))], names=["kind", "entry", "n"])
 
@@ -405,12 +405,9 @@ def _count_rows(model: Model | None, first: bool):
 
 
 def _round(blocks: DataFrame, model: Model | None, first: bool) -> Model:
-    counts = blocks.mapInArrow(_count_rows(model, first), "kind string, entry string, n double").groupBy("kind", "entry").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
-    counts = staged(counts, "counts")
-    paired = F.col("kind").isin("inner", "begun", "start2", "inner2")
-    kept = counts.where(~paired).orderBy(F.desc("n"), "kind", "entry").limit(MOST_TYPES).unionByName(counts.where(paired).orderBy(F.desc("n"), "kind", "entry").limit(MOST_PAIRS))
+    counts = blocks.mapInArrow(_count_rows(model, first), "kind string, entry string, n double").groupBy("kind", "entry").agg(F.sum("n").alias("n"))
     own: dict[str, dict] = {k: {} for k in _KINDS}
-    for row in kept.collect():  # bounded by the two limits
+    for row in staged(counts, "counts").toLocalIterator():  # all of them: the model grows with the vocabulary of the corpus
         own[row[0]][row[1]] = row[2]
     begun = sum(own["block"].values())
     return Model(own, begun / max(1.0, begun + own["sure"].get("", 0.0)))
