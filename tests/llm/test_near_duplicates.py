@@ -64,6 +64,54 @@ def test_a_crowd_of_texts_of_one_shingle(spark):
     assert set(pairs) == brute(crowd + more)
 
 
+@pytest.mark.parametrize("size", [257])
+def test_a_crowd_of_variants(spark, size):
+    rng = random.Random(size)
+    base = [f"v{k}" for k in range(120)]
+    rows = []
+    for k in range(size):
+        own = list(base)
+        own[rng.randrange(120)] = f"n{k % 90}"
+        if k % 5 == 0:  # some far from the rest, but near to each other
+            own[:30] = [f"far{x}" for x in range(30)]
+        rows.append((k, " ".join(own)))
+    frame = spark.createDataFrame(rows, "id bigint, text string")
+    links, classes = nd.near_duplicate_links(frame, most_in_a_group=64)
+    got = {tuple(r) for r in nd.expand_links(links, classes, frame).collect()}
+    assert got == brute(rows)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 5, 400, 6000, 30, 8000)]
+    for left, right in ((sets, sets), (sets[:2], sets[2:]), (sets[:1], sets[1:2])):
+        assert nd.common_counts(left, right).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in right] for x in left]
+
+
+def components(pairs):
+    at = {}
+
+    def root(x):
+        while at.setdefault(x, x) != x:
+            x = at[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        at[max(a, b)] = min(a, b)
+    return {(x, root(x)) for x in list(at)}
+
+
+def test_groups(spark, texts):
+    frame = spark.createDataFrame(texts, "id bigint, text string")
+    links, classes = nd.near_duplicate_links(frame)
+    assert {tuple(r) for r in nd.groups(links, nd.linked_copies(classes, frame)).collect()} == components(brute(texts))
+    path = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 70), (70, 90)], "id_a bigint, id_b bigint")
+    none = spark.createDataFrame([], "id bigint, class_id bigint")
+    assert {tuple(r) for r in nd.groups(path, none).collect()} == {(k, 1) for k in range(1, 61)} | {(70, 70), (90, 70), (100, 70)}
+    assert nd.groups(path.limit(0), none).count() == 0
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "id bigint, text string")
     links, classes = nd.near_duplicate_links(frame)

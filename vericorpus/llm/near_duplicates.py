@@ -2,26 +2,26 @@
 
 Method: parity-sketch join. A text's set of shingles (hashes of five consecutive
 words) is dealt into the parts of its size band; the XOR of the hashes in a part is
-the part's parity sketch. One differing shingle changes one part, so for two sets of
-symmetric difference ``d`` at most ``d`` parts differ, and by the pigeonhole at least
-``parts - d`` sketches of the two are equal. The sketches that are not empty are the
-keys of the join:
-
-* similarity ``t`` bounds ``d`` by ``(1 - t) / t * size``, so of the ``K`` keys of a
-  set at least ``K - d`` are in any partner;
-* keys that only one set has are counted out first, which drops every set that
-  has fewer than ``K - d`` common keys (most of a corpus);
-* of the rest only the rarest ``d + 1`` keys need to meet (prefix of the order by
-  frequency), so boilerplate is not joined on; a key that still is in more than
-  ``most_in_a_group`` sets is only joined together with a second key, unless the
-  sets are so small that a second common key is not certain;
-* candidates are held against a wide bit sketch, whose Hamming distance is a lower
-  bound of ``d``, and the rest are verified on the shingles themselves.
-
-Sets of two bands meet in the lower band, where the larger set deals its
+the part's parity sketch, and the sketches that are not empty, in the order of their parts, are
+the set's keys. One differing shingle changes one part, so:
+
+* similarity ``t`` bounds the symmetric difference ``d`` of a set and any partner by ``(1 - t) / t * size``; at most
+  ``d`` keys of a set are missing in the partner, and of the first ``d + slack`` keys of both the same ``slack`` at least are
+  common (the least common ones). Only those keys leave the scan;
+* keys that one set alone has are counted out, which drops every set with fewer than ``slack`` common keys (most
+  of a corpus); of the rest only the rarest ``common - slack + 1`` keys need to meet, so boilerplate is not joined on;
+* sets are first put into tight clusters (equal least hashes, then a small Hamming distance of the bit sketches to the
+  cluster's head). Keys are joined between clusters, not sets, so a family of thousands of variants is one member
+  of each of its keys. A pair of clusters is given up if the Hamming distance of the heads' sketches less the reach of both
+  clusters (triangle inequality) is above the largest ``d`` that any two of their members may have;
+* what is left is verified on the shingles in blocks of sets: a set is sent once to each block it meets, and all pairs of a
+  block are counted at once.
+
+Clusters only group the work: every pair of sets with a common key is in a pair of clusters (or in one), so no link depends on them.
+Keys of many clusters meet in blocks of bounded size. Sets of two bands meet in the lower band, where the larger set deals its
 shingles a second time. Texts that are equal, and texts of equal shingle sets, are
 represented by one of them; the result has links between representatives and the
-members of each.
+members of each, and ``groups`` their connected components.
 
 Cases: null texts and texts of fewer than five words have no links (equal texts of
 at least five words are linked through their class); rows delivered twice count once;
@@ -45,7 +45,13 @@ from vericorpus.session import staged
 SHINGLE, THRESHOLD = 5, 0.7
 
 #: Upper end of the first size band, and the ratio of the bands' ends.
-FIRST_BAND, BAND_RATIO = 100, 16
+FIRST_BAND, BAND_RATIO = 100, 4
+#: Share of a set's size by which the keys that leave the scan exceed those that may differ: more of them drop more sets, fewer of them are less to shuffle.
+SLACK = 0.15
+#: Clusters: rounds of equal least hashes, and the share of its size in which a set's sketch may differ from its head's.
+ROUNDS, TIGHT = 3, 0.1
+#: Sets, and shingles (about), in a block of a cluster; clusters of one key that meet in one task.
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
 
 _EPS = 1e-9
 _WORD = np.zeros(256, bool)
@@ -123,12 +129,12 @@ def band_end(band: int) -> int:
 
 def band_parts(band: int) -> int:
     """Parts of a band: so many that the largest set of it, dealt at random, fills more of them than its differences can
-    touch (0.53 against 0.43 of its size, far beyond chance), and in the first band so many that shingles hardly share one."""
-    return 1 << 20 if band == 0 else band_end(band) * 7 // 10
+    touch (0.63 against 0.43 of its size, far beyond chance), and in the first band so many that shingles hardly share one."""
+    return 1 << 20 if band == 0 else band_end(band)
 
 
 def _keys(shingles: np.ndarray, band: int) -> np.ndarray:
-    """The parity sketches of the parts that are not empty, with part and band hashed in."""
+    """The parity sketches of the parts that are not empty, in the order of the parts, with part and band hashed in."""
     part = (mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(band_parts(band))).astype(np.int64)
     order = np.argsort(part, kind="stable")
     part, token = part[order], mix(shingles[order] + np.uint64(band))
@@ -147,14 +153,21 @@ def _roles(size: int, threshold: float):
         yield band - 1, int((1 - threshold) / (1 + threshold) * (size + band_end(band - 1) - 1) + _EPS)
 
 
+def leading_keys(own: np.ndarray, band: int, most: int, slack: float = SLACK) -> tuple[np.ndarray, int]:
+    """The first keys of a set in a band, and how many of them any partner has at least."""
+    keys = _keys(own, band)
+    sure = max(1, min(len(keys) - most, int(slack * len(own)), (1 << 24) - 1))
+    return keys[: most + sure], sure
+
+
 def _key_rows(words: int, threshold: float):
     def run(batches):
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
             for k, own in text_sets(batch.column(1).to_pylist(), words):
                 for band, most in _roles(len(own), threshold) if len(own) else ():
-                    keys = _keys(own, band)
-                    rows.append((ids[k], (band << 24) + max(1, len(keys) - most), keys.view(np.int64)))
+                    keys, sure = leading_keys(own, band, most)
+                    rows.append((ids[k], (band << 24) + sure, keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
                 names=["id", "role", "keys"],
@@ -163,8 +176,11 @@ def _key_rows(words: int, threshold: float):
     return run
 
 
+_SETS = "id bigint, size int, sketch binary, shingles binary, least array<bigint>"
+
+
 def _set_rows(words: int):
-    """Size, bit sketch (a power of two of bits, about two a shingle) and shingles of each text."""
+    """Size, bit sketch (a power of two of bits, about two a shingle), shingles and least hashes of each text."""
 
     def run(batches):
         for batch in batches:
@@ -173,9 +189,11 @@ def _set_rows(words: int):
                 if len(own):
                     bits = 1 << max(6, int(2 * len(own) - 1).bit_length())
                     odd = (np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-                    rows.append((ids[k], len(own), np.packbits(odd).tobytes(), own.tobytes()))
-            columns = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["id", "size", "sketch", "shingles"])
+                    least = [int(mix(own + _WEIGHTS[j]).min().view(np.int64)) for j in range(ROUNDS)]
+                    rows.append((ids[k], len(own), np.packbits(odd).tobytes(), own.tobytes(), least))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in _SETS.split(", ")])
 
     return run
 
@@ -189,31 +207,79 @@ def sketch_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(p ^ q).sum())
 
 
-def _near_rows(threshold: float):
-    """Pairs whose sketches allow the similarity."""
+def _distance_rows(batches):
+    """The distance of the two sketches that are the last columns, in their place."""
+    for batch in batches:
+        x, y = (batch.column(k).to_pylist() for k in (-2, -1))
+        distance = pa.array([sketch_distance(p, q) for p, q in zip(x, y)], pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], distance], names=[*batch.schema.names[:-2], "distance"])
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one list has in common with each of another (both sorted and distinct)."""
+    if len(left) * len(right) <= 4:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left], np.int64)
+    own = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(own, kind="stable")
+    own, row = own[order], row[order]
+    new = np.concatenate(([True], own[1:] != own[:-1]))
+    column = np.cumsum(new) - 1
+    several = np.bincount(column)[column] > 1  # a shingle of one set alone is common to none
+    column, row = column[several], row[several]
+    out = np.zeros((len(left), len(right)), np.float64)
+    at = 0
+    while at < len(column):  # some thousand shingles at a time
+        end = int(np.searchsorted(column, column[at] + 4096))
+        held = np.zeros((len(left) + len(right), 4096), np.float32)
+        held[row[at:end], column[at:end] - column[at]] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+        at = end
+    return out.astype(np.int64)
+
+
+def block_links(ids: list, sides: list, sets: list, threshold: float) -> list[tuple[int, int, float]]:
+    """Links of one block: between its sides, or among all if there is one side only."""
+    own = {}
+    for i, side, x in zip(ids, sides, sets):
+        own.setdefault(side, {})[i] = x  # rows delivered twice count once
+    one, two = own.get(0, {}), own.get(1)
+    left, right = list(one), list(one if two is None else two)
+    x = [np.frombuffer(one[i], np.uint64) for i in left]
+    y = x if two is None else [np.frombuffer(two[i], np.uint64) for i in right]
+    if not x or not y or two is None and len(x) < 2:
+        return []
+    both = common_counts(x, y)
+    either = np.array([len(p) for p in x])[:, None] + np.array([len(p) for p in y])[None, :] - both
+    similarity = both / either
+    keep = similarity >= threshold
+    if two is None:
+        keep &= np.triu(np.ones(keep.shape, bool), 1)
+    return [(min(left[i], right[j]), max(left[i], right[j]), float(similarity[i, j])) for i, j in np.argwhere(keep)]
+
+
+def _block_rows(threshold: float):
+    """Rows (block, side, id, shingles) sorted by block; a block that goes on in the next batch is held over."""
 
     def run(batches):
-        for batch in batches:
-            m, n, x, y = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
-            keep = [sketch_distance(p, q) <= (1 - threshold) / (1 + threshold) * (i + j) + _EPS for i, j, p, q in zip(m, n, x, y)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return run
+        at, ids, sides, sets, found = None, [], [], [], []
 
+        def batch_of(found):
+            columns = list(zip(*found)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["id_a", "id_b", "similarity"])
 
-def _verified_pairs(threshold: float):
-    def run(batches):
         for batch in batches:
-            a, b, x, y = (batch.column(k).to_pylist() for k in range(4))
-            rows = []
-            for i, j, p, q in zip(a, b, x, y):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                similarity = both / (len(p) + len(q) - both)
-                if similarity >= threshold:
-                    rows.append((i, j, similarity))
-            columns = list(zip(*rows)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["id_a", "id_b", "similarity"])
+            for block, side, i, shingles in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if block != at:
+                    found += block_links(ids, sides, sets, threshold)
+                    at, ids, sides, sets = block, [], [], []
+                    if len(found) > 50_000:
+                        yield batch_of(found)
+                        found = []
+                ids.append(i)
+                sides.append(side)
+                sets.append(shingles)
+        yield batch_of(found + block_links(ids, sides, sets, threshold))
 
     return run
 
@@ -232,7 +298,40 @@ def set_classes(sets: DataFrame) -> DataFrame:
     return staged(prints.join(heads, ["x", "y", "size"]).select("id", "class_id"), "same")
 
 
-def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words: int = SHINGLE, most_in_a_group: int = 256) -> tuple[DataFrame, DataFrame]:
+def clusters_of(small: DataFrame, tight: float = TIGHT) -> DataFrame:
+    """``(id, cluster)``: sets in tight clusters, the head's id naming each. ``small`` has id, size, sketch and least.
+
+    A round puts heads of one least hash under the least id of theirs if their sketches are near; three rounds of other hashes follow each other.
+    """
+    out = staged(small.select("id", F.col("id").alias("cluster")), "clusters")
+    for j in range(ROUNDS):
+        heads = small.join(out.select(F.col("cluster").alias("id")).distinct(), "id", "left_semi").select("id", "size", "sketch", F.col("least")[j].alias("least"))
+        first = heads.groupBy("least").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").select("least", "head")
+        moved = heads.join(first, "least").where("id <> head").join(small.select(F.col("id").alias("head"), F.col("sketch").alias("other")), "head").select("id", "head", "size", "sketch", "other")
+        moved = moved.mapInArrow(_distance_rows, "id bigint, head bigint, size int, distance int").where(F.col("distance") <= tight * F.col("size")).select(F.col("id").alias("cluster"), "head")
+        out = staged(out.join(moved, "cluster", "left").select("id", F.coalesce("head", "cluster").alias("cluster")), "clusters")
+    return out
+
+
+def _numbers(n) -> F.Column:
+    return F.explode(F.sequence(F.lit(0), n - 1))
+
+
+def met_clusters(rows: DataFrame, most_in_a_group: int) -> DataFrame:
+    """Pairs ``(cluster_a < cluster_b)`` with a key in common; ``rows`` has key and cluster.
+
+    A key of many clusters is met in blocks: each pair of blocks is a group of its own, so no group is larger than two of them.
+    """
+    rows = staged(rows.distinct(), "rows")
+    crowds = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / most_in_a_group).cast("int").alias("blocks"))
+    own = rows.join(crowds, "key").withColumn("block", F.pmod(F.xxhash64("cluster"), F.col("blocks")).cast("int")).select("key", "cluster", "block", _numbers(F.col("blocks")).alias("other"))
+    own = own.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cluster", "block")
+    a, b = (own.select("key", "low", "high", F.col("cluster").alias(f"cluster_{s}"), F.col("block").alias(f"block_{s}")) for s in "ab")
+    met = a.join(b, ["key", "low", "high"]).where("cluster_a < cluster_b and (low = high or block_a <> block_b)")
+    return met.select("cluster_a", "cluster_b").distinct()
+
+
+def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words: int = SHINGLE, most_in_a_group: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
     """Links (id_a < id_b, similarity) between class representatives, and the classes (id, class_id).
 
     ``texts`` has id bigint and text string. Every pair of representatives whose shingle sets have at least
@@ -249,62 +348,92 @@ def near_duplicate_links(texts: DataFrame, threshold: float = THRESHOLD, words:
     # an entry is one number: the magnitude of the key's frequency above the key, so that sorting puts rare keys first
     entry = F.shiftleft(F.floor(F.log2("n")), KEY_BITS) + F.col("key")
     key_of = lambda e: e.bitwiseAND(F.lit((1 << KEY_BITS) - 1))
-    prefix = F.col("role") % (1 << 24)
+    sure = F.col("role") % (1 << 24)
     lists = (
         keys.join(common.hint("shuffle_hash"), "key")
         .groupBy("id", "role").agg(F.collect_set(entry).alias("entries"))
-        .where(F.size("entries") >= prefix)
-        .select("id", (prefix == 1).alias("one"), F.slice(F.array_sort("entries"), 1, F.size("entries") - prefix + 2).alias("entries"))
+        .where(F.size("entries") >= sure)
+        .select("id", F.slice(F.array_sort("entries"), 1, F.size("entries") - sure + 1).alias("entries"))
     )
     lists = staged(lists, "prefixes")
 
     left = staged(lists.select("id").distinct(), "left")
-    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), "id bigint, size int, sketch binary, shingles binary"), "sets")
+    sets = staged(heads.join(left, "id", "left_semi").mapInArrow(_set_rows(words), _SETS), "sets")
     same = set_classes(sets)
-    lists = lists.join(same.where("id = class_id").select("id"), "id", "left_semi")
-
-    rows = lists.select("id", "one", F.explode(F.transform("entries", key_of)).alias("key"))
-    crowds = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    rows = rows.join(crowds, "key")
-    # two sets of which only one common key is certain meet at a crowded key too; equal sets are one by now, so such keys hold few of them
-    single = rows.where((F.col("members") <= most_in_a_group) | F.col("one")).select("key", F.lit(0).cast("bigint").alias("second"), "id")
-    crowded = rows.where(F.col("members") > most_in_a_group).select("id", "key")
-    double = (
-        crowded.join(lists.select("id", F.explode(F.transform("entries", key_of)).alias("second")), "id")
-        .where("key < second").select("key", "second", "id")
+    alone = same.where("id = class_id").select("id")
+    small = staged(sets.select("id", "size", "sketch", "least").distinct().join(alone, "id", "left_semi"), "sketches")
+    clusters = clusters_of(small)
+
+    rows = lists.select("id", F.explode(F.transform("entries", key_of)).alias("key")).join(clusters, "id").select("key", "cluster")
+    met = met_clusters(rows, most_in_a_group)
+
+    head = small.select(F.col("id").alias("cluster"), F.col("sketch").alias("other"))
+    members = small.select("id", "size", "sketch").join(clusters, "id").join(head, "cluster").select("id", "cluster", "size", "sketch", "other")
+    members = staged(members.mapInArrow(_distance_rows, "id bigint, cluster bigint, size int, distance int"), "members")
+    blocks = F.greatest(F.ceil(F.count("*") / most_in_a_group), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    info = staged(
+        members.groupBy("cluster").agg(F.count("*").alias("n"), blocks.alias("blocks"), F.min("size").alias("low"), F.max("size").alias("high"), F.max("distance").alias("reach")).join(head, "cluster"), "info"
     )
-    meetings = single.unionByName(double).distinct()
-    other = meetings.select("key", "second", F.col("id").alias("id_b"))
-    pairs = meetings.withColumnRenamed("id", "id_a").join(other, ["key", "second"]).where("id_a < id_b").select("id_a", "id_b").distinct()
-
-    small = sets.select("id", "size", "sketch").distinct()
-    one, two = (small.select(*(F.col(c).alias(f"{c}_{s}") for c in small.columns)) for s in "ab")
-    sized = (
-        pairs.join(one, "id_a").join(two, "id_b")
-        .where((F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b") - _EPS))
-        .select("id_a", "id_b", "size_a", "size_b", "sketch_a", "sketch_b")
+    one, two = (info.select(F.col("cluster").alias(f"cluster_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("blocks", "low", "high", "reach", "other"))) for s in "ab")
+    spare = F.col("reach_a") + F.col("reach_b") + (1 - threshold) / (1 + threshold) * (F.col("high_a") + F.col("high_b")) + _EPS
+    between = (
+        met.join(one, "cluster_a").join(two, "cluster_b")
+        .where((F.col("high_a") >= threshold * F.col("low_b") - _EPS) & (F.col("high_b") >= threshold * F.col("low_a") - _EPS))
+        .select("cluster_a", "cluster_b", "blocks_a", "blocks_b", spare.alias("spare"), "other_a", "other_b")
+        .mapInArrow(_distance_rows, "cluster_a bigint, cluster_b bigint, blocks_a int, blocks_b int, spare double, distance int")
+        .where("distance <= spare").select("cluster_a", "cluster_b", "blocks_a", "blocks_b")
+    )
+    within = info.where("n > 1").select(F.col("cluster").alias("cluster_a"), F.col("cluster").alias("cluster_b"), F.col("blocks").alias("blocks_a"), F.col("blocks").alias("blocks_b"))
+    grid = between.unionByName(within).withColumn("i", _numbers(F.col("blocks_a"))).withColumn("j", _numbers(F.col("blocks_b"))).where("cluster_a <> cluster_b or i <= j")
+    grid = staged(grid.withColumn("block", F.monotonically_increasing_id()), "grid")
+    placed = members.join(info.select("cluster", "blocks"), "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("part"))
+    side_a = grid.join(placed, (F.col("cluster") == F.col("cluster_a")) & (F.col("part") == F.col("i"))).select("block", F.lit(0).alias("side"), "id")
+    side_b = grid.where("cluster_a <> cluster_b or i <> j").join(placed, (F.col("cluster") == F.col("cluster_b")) & (F.col("part") == F.col("j"))).select("block", F.lit(1).alias("side"), "id")
+    meetings = staged(side_a.unionByName(side_b), "meetings")
+    links = (
+        meetings.join(sets.select("id", "shingles"), "id").select("block", "side", "id", "shingles")
+        .repartition("block").sortWithinPartitions("block")
+        .mapInArrow(_block_rows(threshold), "id_a bigint, id_b bigint, similarity double")
     )
-    near = staged(sized.mapInArrow(_near_rows(threshold), "id_a bigint, id_b bigint"), "near")
-    full = sets.select("id", "shingles")
-    one, two = (full.select(*(F.col(c).alias(f"{c}_{s}") for c in full.columns)) for s in "ab")
-    links = near.join(one, "id_a").join(two, "id_b").select("id_a", "id_b", "shingles_a", "shingles_b").mapInArrow(_verified_pairs(threshold), "id_a bigint, id_b bigint, similarity double").distinct()
     further = same.select(F.col("id").alias("class_id"), F.col("class_id").alias("set_class"))
     classes = classes.join(further, "class_id", "left").select("id", F.coalesce("set_class", "class_id").alias("class_id"))
-    return links, staged(classes, "set-classes")
+    return staged(links, "links"), staged(classes, "set-classes")
 
 
-def expand_links(links: DataFrame, classes: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """All pairs (id_a < id_b) of linked texts: between the members of linked classes and within classes.
+def groups(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, group_id) of every text that is linked or has a copy: connected components, named by their least id.
 
-    The members of a class are linked if they have a shingle at all, which only the texts of classes with copies are
-    read for (words are counted in the JVM).
+    Stars are contracted in turn (to the least neighbour of all, then of the lesser ones) until nothing changes; each round is a few
+    joins and aggregations over the edges that are left, and only a count and a sum go to the driver.
     """
-    links = staged(links, "links")
-    mine, yours = (classes.select(F.col("class_id").alias(f"id_{s}"), F.col("id").alias(s)) for s in "ab")
-    between = links.select("id_a", "id_b").join(mine, "id_a").join(yours, "id_b").select("a", "b")
+    edges = staged(links.select("id_a", "id_b").unionByName(classes.where("id <> class_id").select(F.col("class_id").alias("id_a"), F.col("id").alias("id_b"))).distinct(), "edges")
+    before = None
+    while True:
+        both = edges.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).unionByName(edges.select(F.col("id_b").alias("u"), F.col("id_a").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        small = small.select(F.col("v").alias("u"), "m").unionByName(small.select("u", "m")).where("u <> m").distinct()
+        edges = staged(small.select(F.col("m").alias("id_a"), F.col("u").alias("id_b")), "edges")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("id_a", "id_b").cast("decimal(38,0)"))).first()
+        if now == before:
+            return edges.select(F.col("id_b").alias("id"), F.col("id_a").alias("group_id")).unionByName(edges.select(F.col("id_a").alias("id"), F.col("id_a").alias("group_id"))).distinct()
+        before = now
+
+
+def linked_copies(classes: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """The classes of several texts whose texts have a shingle at all, which only their own texts are read for (words are counted in the JVM)."""
     copied = staged(classes.where("id <> class_id").select(F.col("class_id").alias("id")).distinct(), "copied")
     worded = texts.join(copied, "id", "left_semi").where(F.regexp_count("text", F.lit("[A-Za-z0-9_]+")) >= words).select(F.col("id").alias("class_id")).distinct()
-    inner = classes.join(worded, "class_id", "left_semi")
+    return classes.join(worded, "class_id", "left_semi").select("id", "class_id")
+
+
+def expand_links(links: DataFrame, classes: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """All pairs (id_a < id_b) of linked texts: between the members of linked classes and within classes."""
+    mine, yours = (classes.select(F.col("class_id").alias(f"id_{s}"), F.col("id").alias(s)) for s in "ab")
+    between = links.select("id_a", "id_b").join(mine, "id_a").join(yours, "id_b").select("a", "b")
+    inner = linked_copies(classes, texts, words)
     within = inner.select("class_id", F.col("id").alias("a")).join(inner.select("class_id", F.col("id").alias("b")), "class_id").where("a < b").select("a", "b")
     return between.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).unionByName(within.select(F.col("a").alias("id_a"), F.col("b").alias("id_b")))
 

@@ -50,6 +50,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("file_id_a"), F.col("id_b").alias("file_id_b"))
 
 
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    texts = near_duplicates.solidity_texts(table(spark, d, "records"))
+    links, classes = near_duplicates.near_duplicate_links(texts)
+    return near_duplicates.groups(links, near_duplicates.linked_copies(classes, texts)).select(F.col("id").alias("file_id"), "group_id")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return licenses.licenses(spread(table(spark, d, "records")), table(spark, d, "license_ids"))
 
@@ -83,8 +89,18 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(spread(table(spark, d, "documents")))
 
 
+_PAIRS = r"""
+            WITH files AS (SELECT DISTINCT c.file_id, regexp_extract_all(c.clean_source, '[A-Za-z0-9_]+') AS w FROM (SELECT unnest(contracts) AS c FROM records)
+                           WHERE lower(c.relative_path) LIKE '%.sol' AND c.clean_source IS NOT NULL AND c.file_id IS NOT NULL),
+                 shingles AS (SELECT DISTINCT file_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM files),
+                 sizes AS (SELECT file_id, count(*) AS n FROM shingles GROUP BY 1),
+                 shared AS (SELECT a.file_id AS a, b.file_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.file_id < b.file_id GROUP BY 1, 2),
+                 pairs AS (SELECT a AS file_id_a, b AS file_id_b FROM shared s JOIN sizes x ON x.file_id = s.a JOIN sizes y ON y.file_id = s.b WHERE s.n >= 0.7 * (x.n + y.n - s.n))
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_pieces, p3_found, p3_shared, p4_found, p5_found, p6_found, p6_matches, p6_clean, p7_found, p7_mix, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_pieces, p3_found, p3_shared, p4_found, p4_groups, p5_found, p6_found, p6_matches, p6_clean, p7_found, p7_mix, p7_shares, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -99,14 +115,11 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) > 6000 THEN 'forced' ELSE 'natural' END AS cut
             FROM items WHERE length(text) > 6000
         """,
-        "p4_found": r"""
-            WITH files AS (SELECT DISTINCT c.file_id, regexp_extract_all(c.clean_source, '[A-Za-z0-9_]+') AS w FROM (SELECT unnest(contracts) AS c FROM records)
-                           WHERE lower(c.relative_path) LIKE '%.sol' AND c.clean_source IS NOT NULL AND c.file_id IS NOT NULL),
-                 shingles AS (SELECT DISTINCT file_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM files),
-                 sizes AS (SELECT file_id, count(*) AS n FROM shingles GROUP BY 1),
-                 shared AS (SELECT a.file_id AS a, b.file_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.file_id < b.file_id GROUP BY 1, 2)
-            SELECT a AS file_id_a, b AS file_id_b FROM shared s JOIN sizes x ON x.file_id = s.a JOIN sizes y ON y.file_id = s.b WHERE s.n >= 0.7 * (x.n + y.n - s.n)
-        """,
+        "p4_found": _PAIRS + " SELECT file_id_a, file_id_b FROM pairs",
+        "p4_groups": _PAIRS.replace("WITH files", "WITH RECURSIVE files") + """,
+                 edges AS (SELECT file_id_a AS u, file_id_b AS v FROM pairs UNION ALL SELECT file_id_b, file_id_a FROM pairs),
+                 walk AS (SELECT u AS file_id, u AS node FROM edges UNION SELECT w.file_id, e.v FROM walk w JOIN edges e ON e.u = w.node)
+            SELECT file_id, min(node) AS group_id FROM walk GROUP BY 1""",
         "p6_found": r"""
             WITH texts AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
                  items AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL AND item_id IS NOT NULL),
