@@ -1,3 +1,6 @@
+import itertools
+
+import numpy as np
 import pytest
 
 from vericorpus.llm import sentences as se
@@ -98,15 +101,44 @@ def test_operator(spark, model):
     assert empty.count() == 0
 
 
-def test_posteriors_are_probabilities(model):
-    text = "One two. Three Inc. The four. ค่าสูง 3 เป็น"
-    found = se.gaps(text, 0, len(text))
-    assert all(0 <= p <= 1 for p in se.posteriors(found, model, False)) and se.posteriors([], model, False) == []
-
-
-def test_the_model_keeps_all_counts(spark):
-    rows = [(k, f"The rule {w} holds. Nobody doubts {w}.") for k, w in enumerate(("alpha", "beta", "gamma"))]
-    c = se.train(spark.createDataFrame(rows, "doc_id bigint, text string"), 1).c
-    for word in ("alpha", "beta", "gamma"):
-        assert c["ends"][f"{word}."] == 1
-    assert abs(c["begun"]["holds.\tNobody"] + c["inner"]["holds.\tNobody"] - 3) < 1e-6
+def test_posteriors_are_those_of_all_ways_to_cut():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        n = int(rng.integers(1, 9))
+        block, kind = np.sort(rng.integers(0, 3, n)), rng.choice([0, 0, 0, 20], n)
+        position = np.cumsum(rng.integers(1, 6, n))
+        size, unary = rng.integers(0, 6, n), rng.normal(0, 2, n)
+        total, hits = 0.0, np.zeros(n)
+        for bits in itertools.product((0, 1), repeat=n):
+            b = np.array(bits)
+            tied = (block[1:] == block[:-1]) & (kind[1:] == 0) & (kind[:-1] == 0) & (np.diff(position) <= size[1:])
+            w = np.exp((b * unary).sum() - 3.0 * (b[1:] * b[:-1] * tied).sum())
+            total, hits = total + w, hits + w * b
+        assert np.allclose(se.posteriors(block, position, kind, size, unary), hits / total)
+    assert len(se.posteriors(*(np.empty(0, int) for _ in range(4)), np.empty(0))) == 0
+
+
+def test_the_model_counts_every_type(spark):
+    words = [f"alpha{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    rows = [(k, f"The rule {w} holds. Nobody doubts {w}.") for k, w in enumerate(words)]
+    m = se.train(spark.createDataFrame(rows, "doc_id bigint, text string"), 1)
+    assert sum(m.left[se._slot(f"{w}."), 3] >= 1 and m.bare[se._slot(f"{w}."), 0] >= 1 for w in words) == 200
+    pair = se._pair(np.array([se._slot("holds.")]), np.array([se._slot("Nobody")]))
+    assert m.pair[pair, 0] == 200
+
+
+def test_abbreviations_are_learnt(spark):
+    names = ["Berg", "Stone", "Field", "Rivera", "Okoye", "Lund"]
+    rows = [(k, f"We met Hptm. {names[k % 6]} on the way. The talk was short. The {names[(k + 1) % 6]} house is old.\n\nThe way was long. The talk went on.") for k in range(60)]
+    m = se.train(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    text = "The house saw Hptm. Lund. The talk was short."
+    assert se.sentence_ends(text, m) == [25, 45]
+
+
+def test_long_texts_take_linear_time(model):
+    import time
+
+    for text in ("字" * 300_000 + "。" + "字" * 300_000, "「字。」" * 100_000, "ค่า " * 100_000, "a." * 200_000, "x. " * 100_000):
+        began = time.time()
+        assert se.sentence_ends(text, model)[-1] == len(text.rstrip())
+        assert time.time() - began < 20

@@ -1,29 +1,35 @@
 """Sentence boundaries across languages and scripts (problem 8).
 
 Method: a hidden-event n-gram language model. Between the tokens of a block stands a hidden
-event, boundary or none. The model holds how likely a token is to be followed by a
-boundary, which tokens begin a sentence (and follow its first), and which follow a token without a boundary. It is
-trained on the corpus itself by expectation maximisation: block ends are boundaries that everyone can see, so
-the rate at which a token type begins blocks against its whole frequency starts the training; forward-backward
-posteriors of each round are the counts of the next. The posteriors of the last round, together with what punctuation
-allows, decide. In scripts that separate sentences by spaces alone every space
-before a word of the script is open, and the model decides by itself.
-
-The counts run over all documents as Spark aggregations; the model keeps all of them and
-goes to every task, so the driver and the tasks need memory for the distinct types and pairs of the corpus.
+event, boundary or none. The model holds how likely each class of punctuation (the stop, what closes it, the case of what
+follows) is a boundary, how likely a token is to be followed by one, which tokens begin a sentence (and follow its first), and
+which follow a token without one. It is trained on the corpus itself by expectation maximisation: block ends are boundaries that
+everyone can see, so two rates start the training: how often a token type begins blocks, and how often one ends them. A type that
+stands before many open gaps and never ends a block is an abbreviation, and one that small letters often follow goes on; no list
+of abbreviations is kept. Classes of punctuation begin with weak odds and are estimated anew in each round like everything else.
+Forward-backward posteriors of each round are the counts of the next, and those of the last round decide. In scripts that separate
+sentences by spaces alone every space is open, and the n-grams decide by themselves.
+
+A type is known by a hash of ``SLOT_BITS`` bits, so the model is a table of bounded size however large the corpus is, and all
+counts enter it: texts are parsed once into gaps of numbers, each round adds them up in numpy and as Spark aggregations by slot, and the
+table (at most ``4 * 2**SLOT_BITS`` short rows, fewer as far as slots are empty) goes through the driver to every task. Two types of one slot are
+counted as one, which below some millions of types is rare.
 
 Units: a heading line and a list item are one unit each; fenced code belongs to none; a blank line ends a unit, a
 single line break does not. Cases: null and blank texts have no sentence; documents without an id are left out; rows delivered
-twice count once; an empty table gives an empty result; further columns are ignored; a very long text is worked block by block.
+twice count once; an empty table gives an empty result; further columns are ignored; a very long text is worked block by block, in linear time.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +37,10 @@ from vericorpus.session import staged
 
 #: Rounds of training, and the least frequency from which a type is evidence.
 ROUNDS, LEAST_COUNT = 2, 3
-#: Characters within which the opening of a quotation is looked for.
-REACH = 2000
+#: Gaps that the first odds of a class count as.
+WEIGHT = 10
+#: Bits of a slot of the model's tables.
+SLOT_BITS = 20
 
 _FENCE = re.compile(r"^\s{0,3}(`{3,}|~{3,})")
 _HEADING = re.compile(r"^\s{0,3}#{1,6}(\s|$)")
@@ -49,22 +57,11 @@ _WORD = re.compile(r"\S+")
 _LETTER = re.compile(r"[^\W\d_]")
 _OPENING = "\"'“„«‘([{¿¡「『（【《‹*_   "
 
-# Common abbreviations that a sentence does not end with, and others that it may end with.
-_INNER = set(
-    """mr mrs ms dr prof st no nos fig figs sec secs eq ch vol pp p ver vs cf e.g i.e approx incl excl inkl exkl ca dept jan feb mar apr jun jul aug sep sept oct nov dec gen rep sen hon rev
-    z b d h u vgl kap abs nr bzgl bzw ggf evtl inkl zzgl sog usw usf s hr fr art al env janv févr avr juil sept oct déc m mm mme mlle ex p.ex
-    sr sra srta dra ud uds pág págs núm aprox ej ee n.º nº av tel डॉ श्री""".split()
-)
-_ENDER = set("inc ltd co corp etc kg gmbh ag al a.m p.m u.s uu ff f bzw usw usf sa srl plc llc jr".split())
-
-
 _TAIL = _CLOSING.replace("\\", "") + ",;:"
 _INTEGER = re.compile(r"[-+]?\d{1,4}")
 _IDENTIFIER = re.compile(r"[a-z\d][A-Z]|[\w][._/(:][\w(]|_")
 _HAN_ONE, _LATIN = re.compile(f"[{_HAN}]"), re.compile(r"[A-Za-z0-9_.]+")
 _TERMINALS = re.compile(rf"[{_TERMINAL}]+")
-_LAST_WORD = re.compile(r"[^\s]*$")
-_ELIDED = re.compile(r"^[^\W\d_]{1,2}['’](?=\w)")
 _UNIT, _NUMBER_BEFORE = re.compile(r"[^\W\d_]|min|sec|ms|km|kg"), re.compile(r"\d[.,]?\d*\s$")
 _INITIALS = re.compile(r"[^\W\d_]|([^\W\d_]\.)+[^\W\d_]")
 _SMALL_NUMBER = re.compile(r"\d{1,4}")
@@ -91,7 +88,7 @@ def _type_of(token: str) -> str:
         return f"<int>{stop}"
     if core[0].isdigit() or core[0] in "+-" and core[1:2].isdigit():
         return f"<num>{stop}"
-    if _IDENTIFIER.search(core) and core.lower() not in ("i.e", "e.g", "a.m", "p.m", "u.s"):
+    if _IDENTIFIER.search(core) and not _INITIALS.fullmatch(core):
         return ("<Name>" if core[0].isupper() else "<ident>") + stop
     return core[:24] + stop
 
@@ -141,239 +138,317 @@ def units(text: str):
     yield from close()
 
 
-def _next_type(text: str, at: int, end: int) -> tuple[str, str, str]:
-    """Type of what follows a gap, of what follows that, and its first letter's case (upper, lower, ident, digit, none)."""
-    end = min(end, at + 400)  # scripts without spaces make one word of a paragraph
-    m = _WORD.search(text, at, end)
-    if not m:
-        return "</s>", "", "none"
-    token = m.group(0)
-    body = token.lstrip(_OPENING) or token
-    first = body[0]
-    if _HAN_ONE.match(first) or _HAN_ONE.match(token[0]):
-        opened = token[0] if token[0] in _OPENING or not token[0].isalnum() else ""
-        core = _LATIN.sub("A", token[len(opened) : len(opened) + 200])[:2]
-        return opened + core, "", "none"
-    if not token.isascii() and _HAN_ONE.search(token):
-        m2 = _LATIN.match(body)
-        rest = body[m2.end() : m2.end() + 2] if m2 else body[:2]
-        return ("<num>" if first.isdigit() else "A") + rest, "", "none"
-    following = _WORD.search(text, m.end(), end)
-    kind = token_type(token)
-    case = "digit" if first.isdigit() else "none"
-    letter = _LETTER.search(body)
-    if letter and not first.isdigit():
-        c = letter.group(0)
-        case = "upper" if c.isupper() else "lower" if c.islower() else "none"
-        if case == "lower" and (kind.startswith("<ident>") or body.lower().startswith(("i.e.", "e.g."))):
-            case = "ident"
-    return kind, token_type(following.group(0)) if following else "</s>", case
-
-
-def gaps(text: str, start: int, end: int):
-    """The open gaps of a prose block: (end position, left type, right type, second right type, log odds by punctuation)."""
-    spaced = bool(_SPACED.search(text, start, end))
+#: Cases of what follows a gap.
+_CASES = ("none", "upper", "lower", "ident", "digit")
+#: Kinds of a gap by its stop: a blank in a spaced script, a wide stop, ! or ? and the like, several stops, and single periods.
+_KINDS = ("blank", "wide", "wide quoted", "wide told", "strong", "several", "quoted", "period", "short", "number", "unit", "initials")
+#: The log odds from which training starts, by kind and case; weak, since each round estimates them anew.
+_FIRST = {
+    "blank": (0, 0, 0, 0, 0), "wide": (3, 3, 3, 3, 3), "wide quoted": (-1,) * 5, "wide told": (1.5,) * 5, "strong": (3, 3, -3, 2, 3), "several": (3, 3, -3, 1, 3),
+    "quoted": (3, 3, -3, 2, 3), "period": (3, 3, 2, 3, 2), "short": (1, 1.5, 1, 2, 1), "number": (2, 1.5, -3, 1.5, -0.5), "unit": (2, 3, -2, 2, 2), "initials": (-1, -1, -2, -1, -1),
+}
+_START = np.array([x for kind in _KINDS for x in _FIRST[kind]], np.float64)
+_BLANK_CLASSES, _SMALL = len(_CASES), _CASES.index("lower")
+_SLOTS = 1 << SLOT_BITS
+_IDS: dict[str, int] = {}
+_RIGHT: dict[str, tuple[int, int]] = {}
+_TWO_OF_HAN = re.compile(r"(?:[A-Za-z0-9_.]+|\S){0,2}")
+_QUOTES = re.compile("[„‚“‘\"「『《（]")
+
+
+def _slot(name: str) -> int:
+    """The slot of a type; the empty type has none (-1)."""
+    known = _IDS.get(name)
+    if known is None:
+        if len(_IDS) > 200_000:
+            _IDS.clear()
+        known = _IDS[name] = crc32(name.encode("utf-8", "surrogatepass")) & (_SLOTS - 1) if name else -1
+    return known
+
+
+def _right_of(token: str) -> tuple[int, int]:
+    """Slot and case of a token that follows a gap (no script without spaces)."""
+    known = _RIGHT.get(token)
+    if known is None:
+        if len(_RIGHT) > 200_000:
+            _RIGHT.clear()
+        body = token.lstrip(_OPENING) or token
+        kind, case = token_type(token), "digit" if body[0].isdigit() else "none"
+        letter = _LETTER.search(body)
+        if letter and case != "digit":
+            c = letter.group(0)
+            case = "upper" if c.isupper() else "lower" if c.islower() else "none"
+            if case == "lower" and (kind.startswith("<ident>") or _INITIALS.fullmatch(body.rstrip(_TAIL).rstrip(_TERMINAL)) and "." in body[:-1]):
+                case = "ident"
+        known = _RIGHT[token] = (_slot(kind), _CASES.index(case))
+    return known
+
+
+class _Words:
+    """The words of a block, found once. In a spaced script types are counted by themselves, since identifiers and numbers stand differently there."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text, self.spaced = text, bool(_SPACED.search(text, start, end))
+        spans = [m.span() for m in _WORD.finditer(text, start, end)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def before(self, at: int) -> str:
+        """The token that ends at ``at`` (of a longer one its last 60 characters)."""
+        k = bisect_left(self.starts, at) - 1
+        return self.text[max(self.starts[k], at - 60) : at] if k >= 0 else ""
+
+    def after(self, at: int) -> tuple[int, int, int]:
+        """Slots of the token that follows and of the next one, and the case of the first."""
+        k = bisect_right(self.ends, at)
+        if k == len(self.ends):
+            return _slot("</s>"), -1, 0
+        text, a, b = self.text, max(at, self.starts[k]), self.ends[k]
+        first = text[a]
+        if _HAN_ONE.match(first) or not first.isascii() or b - a > 60:
+            m = next((i for i in range(a, b) if text[i] not in _OPENING), a)
+            if _HAN_ONE.match(first) or _HAN_ONE.match(text[m]):
+                opened = first if first in _OPENING or not first.isalnum() else ""
+                return _slot(opened + _LATIN.sub("A", _TWO_OF_HAN.match(text, a + len(opened), b).group(0))), -1, 0
+        token = text[a:b]
+        if not token.isascii() and _HAN_ONE.search(token):
+            body = token.lstrip(_OPENING)
+            m = _LATIN.match(body)
+            return _slot(("<num>" if body[0].isdigit() else "A") + (body[m.end() : m.end() + 2] if m else body[:2])), -1, 0
+        if self.spaced:
+            after = self.text[self.starts[k + 1] : self.ends[k + 1]][:60] if k + 1 < len(self.ends) else ""
+            return _slot(" " + token_type(token)), _slot(" " + token_type(after)) if after else _slot("</s>"), _right_of(token)[1]
+        kind, case = _right_of(token)
+        return kind, _slot(token_type(text[self.starts[k + 1] : self.ends[k + 1]][:60])) if k + 1 < len(self.ends) else _slot("</s>"), case
+
+
+def gaps(text: str, start: int, end: int, words: _Words, over: int) -> list[tuple]:
+    """The open gaps of a prose block: (end position, class, slots of left, right and second right type, coupled with the next)."""
+    spaced = words.spaced
     places: dict[int, tuple[int, int]] = {}
+    quotes: dict[str, list[int]] | None = None
+
+    def last(marks: str, before: int) -> int:
+        """The last of some quotation marks before a position."""
+        nonlocal quotes
+        if quotes is None:  # one pass over the block, whatever its length
+            quotes = {}
+            for m in _QUOTES.finditer(text, start, end):
+                quotes.setdefault(m.group(0), []).append(m.start())
+        return max((own[k - 1] for q in marks if (own := quotes.get(q)) and (k := bisect_left(own, before))), default=-1)
+
     for m in _STOP.finditer(text, start, end):
         a, b = m.start(), m.end()
-        if text[b : b + 1] in ("“", "‘") and b < end and text.rfind("„" if text[b] == "“" else "‚", max(start, b - REACH), b) > text.rfind(text[b], max(start, b - REACH), b):
+        if text[b : b + 1] in ("“", "‘") and b < end and last("„" if text[b] == "“" else "‚", b) > last(text[b], b):
             b += len(re.match(rf"[“‘{_CLOSING}]+", text[b:end]).group(0))  # it closes a quotation that began low
         stop = _TERMINALS.match(m.group(0)).group(0)
         after = text[b : b + 1] if b < end else ""
-        if after and not after.isspace() and not (stop[-1] in _WIDE and (len(stop) > 1 or stop != "…" or _HAN_ONE.match(after))) and not _HAN_ONE.match(after):
-            continue
-        if after and not after.isspace() and stop[-1] == "." :
-            continue
-        places[b] = (a, len(stop))
-    out = []
-    over = _trimmed(text, start, end)
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text, start, end)] if spaced else []
+        if after and not after.isspace():
+            han = bool(_HAN_ONE.match(after))
+            if stop[-1] == "." or not han and not (stop[-1] in _WIDE and (len(stop) > 1 or stop != "…")):
+                continue
+        if b < over:
+            places[b] = (a, len(stop))
     if spaced:
-        for (_, left), (right, stop) in zip(words, words[1:]):
-            if left not in places and _SPACED.match(text[right]):
+        for left in words.ends[:-1]:
+            if left not in places and left < over:
                 places[left] = (-1, 0)
+    out = []
     for b in sorted(places):
         a, size = places[b]
-        if b >= over:
-            continue
-        right, second, case = _next_type(text, b, end)
-        low = max(start, b - 60)
-        left_words = text[low:b].split()
-        left = token_type(left_words[-1]) if left_words else ""
+        right, second, case = words.after(b)
+        token = words.before(b)
+        left = (" " if spaced else "") + token_type(token) if token else ""
         if a < 0:
-            out.append((b, left, right, second, 0.0))
+            out.append((b, 0, _slot(left), right, second, len(left)))
             continue
         stop = text[a : a + size]
         closed = b > a + size
-        word = _ELIDED.sub("", _LAST_WORD.search(text[low:a]).group(0).lstrip(_OPENING).lower())  # l'art.
-        strong = any(c in "!?。！？؟।॥۔" for c in stop)
-        wide = any(c in _WIDE for c in stop)
-        if wide and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
+        word = token[: len(token) - (b - a)].lstrip(_OPENING).lower()
+        if any(c in _WIDE for c in stop) and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
             # a quotation that a colon brings in ends its sentence, another one most often goes on
-            opened = max(text.rfind(q, max(start, a - REACH), a) for q in "“「『‘《（")
-            odds = 6.0 if not closed else 1.5 if opened > start and text[opened - 1] in "：:" else -1.0
+            opened = last("“「『‘《（", a) if closed else -1
+            kind = "wide" if not closed else "wide told" if opened > start and text[opened - 1] in "：:" else "wide quoted"
             left = stop + (text[a + size : b] if closed else "")
-        elif strong:
-            odds = {"lower": -6.0, "ident": 3.0}.get(case, 6.0)
+        elif any(c in "!?。！？؟।॥۔" for c in stop):
+            kind = "strong"
         elif len(stop) > 1 or stop == "…":
-            odds = {"lower": -5.0, "ident": 2.0}.get(case, 5.0)
+            kind = "several"
         elif closed:
-            odds = {"lower": -4.0, "ident": 4.0}.get(case, 6.0)
-        elif word in _ENDER and not (word in _INNER and case != "upper"):
-            odds = {"upper": 1.5, "none": 1.0}.get(case, -6.0)
-        elif _UNIT.fullmatch(word) and _NUMBER_BEFORE.search(text[low : a - len(word)]) and text[a - 1].islower():
-            odds = {"upper": 4.0, "lower": -4.0}.get(case, 2.0)  # a unit after a number
-        elif word in _INNER or _INITIALS.fullmatch(word):
-            odds = -6.0
+            kind = "quoted"
+        elif _UNIT.fullmatch(word) and _NUMBER_BEFORE.search(text[max(start, a - len(word) - 24) : a - len(word)]) and text[a - 1].islower():
+            kind = "unit"
+        elif _INITIALS.fullmatch(word):
+            kind = "initials"
         elif _SMALL_NUMBER.fullmatch(word):
-            odds = {"lower": -6.0, "upper": 2.0, "ident": 2.0, "digit": -0.5}.get(case, 3.0)
+            kind = "number"
         else:
-            odds = {"lower": 2.5, "ident": 4.0, "digit": 3.0}.get(case, 5.0)
-            if case == "lower":  # of a small letter only the token before can tell
-                right, second = "<small>", ""
-        out.append((b, left, right, second, odds))
+            kind = "short" if len(word) <= 3 else "period"
+        out.append((b, _KINDS.index(kind) * len(_CASES) + case, _slot(left), right, second, 0))
     return out
 
 
-class Model:
-    """All counts of a round; an empty one knows nothing."""
-
-    def __init__(self, counts: dict[str, dict], rate: float = 0.25):
-        self.c = counts
-        self.rate = rate
-
-    def first_guess(self, right: str) -> float:
-        """Log odds of a boundary by how often the right type begins blocks."""
-        n = self.c["right"].get(right, 0.0)
-        if n < LEAST_COUNT or right == "<small>":
-            return 0.0
-        s = min(0.97, max(0.03, self.c["block"].get(right, 0.0) / n / self.rate))
-        # a few occurrences that begin no block say little against a type
-        return max(math.log(s / (1 - s)), n * math.log((1 - self.rate) / 0.99))
-
-    def odds(self, left: str, right: str, second: str) -> float:
-        """Log odds of a boundary between two tokens by the n-grams of the last round.
-
-        What a token does is estimated from its occurrences beside *other* neighbours (leaving one out), or a pair that
-        always stands together would confirm whatever was first believed of it.
-        """
-        c = self.c
-        inner, begun = c["inner"].get(f"{left}\t{right}", 0.0), c["begun"].get(f"{left}\t{right}", 0.0)
-        n, ends = c["left"].get(left, 0.0) - inner - begun, c["ends"].get(left, 0.0) - begun
-        value = _logit(max(0.0, ends), n)
-        if right == "<small>":
-            return value
-        n, starts = c["right"].get(right, 0.0) - inner - begun, c["start"].get(right, 0.0) - begun
-        value += _logit(max(0.0, starts), n)
-        if second:
-            one, two = c["start2"].get(f"{right}\t{second}", 0.0), c["inner2"].get(f"{right}\t{second}", 0.0)
-            value += max(-1.0, min(1.0, math.log((one + 0.5) / (two + 0.5))))
-        return value + self.first_guess(right)
-
-
-def _logit(hits: float, n: float) -> float:
-    """Smoothed log odds of hits among n, at most 3.5 either way."""
-    n = max(n, hits)
-    return max(-3.5, min(3.5, math.log((hits + 0.5) / (n - hits + 0.5)))) if n >= LEAST_COUNT else 0.0
-
-
-def posteriors(found, model: Model | None, first: bool) -> list[float]:
-    """Forward-backward over a block's gaps: the probability of a boundary at each.
-
-    Neighbouring gaps are coupled: a sentence of a single token between two gaps is unlikely.
-    """
-    if not found:
-        return []
-    unary = []
-    for _, left, right, second, odds in found:
-        lm = 0.0 if model is None else model.first_guess(right) if first else model.odds(left, right, second)
-        limit = 8.0 if abs(odds) <= 1.5 else 3.5
-        unary.append(odds + max(-limit, min(limit, lm)))
-    pair = []
-    for x, y in zip(found, found[1:]):
-        pair.append(-3.0 if y[0] - x[0] <= len(y[1]) + 1 and x[4] == 0.0 and y[4] == 0.0 else 0.0)
-    forward = [(0.0, unary[0])]
-    for k in range(1, len(unary)):
-        a, b = forward[-1]
-        forward.append((_log_sum(a, b), unary[k] + _log_sum(a, b + pair[k - 1])))
-    backward = [(0.0, 0.0)]
-    for k in range(len(unary) - 1, 0, -1):
-        a, b = backward[-1]
-        b += unary[k]
-        backward.append((_log_sum(a, b), _log_sum(a, b + pair[k - 1])))
-    backward.reverse()
-    return [1 / (1 + math.exp(max(-60.0, min(60.0, f0 + b0 - f1 - b1)))) for (f0, f1), (b0, b1) in zip(forward, backward)]
-
-
-def _log_sum(a: float, b: float) -> float:
-    high, low = (a, b) if a > b else (b, a)
-    return high + math.log1p(math.exp(low - high)) if high - low < 40 else high
-
-
 def _trimmed(text: str, start: int, end: int) -> int:
     return start + len(text[start:end].rstrip())
 
 
 def parsed(text: str):
-    """The blocks of a text: (prose, end, right, second, last, gaps); right and second begin the block, last ends it."""
+    """The blocks of a text: (prose, end, right, second, last, gaps); right and second begin the block, last ends it (slots)."""
     for start, end, kind in units(text):
         stop = _trimmed(text, start, end)
         if kind != "prose":
-            yield False, stop, "", "", "", []
+            yield False, stop, -1, -1, -1, []
             continue
-        right, second, _ = _next_type(text, start, end)
-        last = text[max(start, stop - 200) : stop].split()
-        yield True, stop, right, second, token_type(last[-1]) if last else "", gaps(text, start, end)
+        words = _Words(text, start, end)
+        right, second, _ = words.after(start)
+        last = words.before(stop)
+        yield True, stop, right, second, _slot((" " if words.spaced else "") + token_type(last)) if last else -1, gaps(text, start, end, words, stop)
 
 
-def sentence_ends(text: str, model: Model | None, first: bool = False) -> list[int]:
-    """End positions of a text's sentences."""
-    ends = []
-    for _, end, _, _, _, found in parsed(text):
-        ends += [g[0] for g, p in zip(found, posteriors(found, model, first)) if p > 0.5]
-        ends.append(end)
-    return ends
-
-
-def count_block(right: str, second: str, last: str, found, model: Model | None, first: bool, into: dict[str, Counter]) -> None:
-    """Adds the expected counts of a block of prose."""
-    for kind in ("block", "right", "start"):
-        into[kind][right] += 1
-    if second:
-        into["start2"][f"{right}\t{second}"] += 1
-    for (_, left, right, second, odds), p in zip(found, posteriors(found, model, first)):
-        pair = f"{left}\t{right}"
-        into["right"][right] += 1
-        into["left"][left] += 1
-        into["ends"][left] += p
-        into["start"][right] += p
-        into["inner"][pair] += 1 - p
-        into["begun"][pair] += p
-        if second:
-            into["start2"][f"{right}\t{second}"] += p
-            into["inner2"][f"{right}\t{second}"] += 1 - p
-        into["sure"][""] += odds >= 4.0
-    if last:
-        into["left"][last] += 1
-        into["ends"][last] += 1
-
-
-_KINDS = ("block", "right", "left", "ends", "start", "inner", "begun", "start2", "inner2", "sure")
-_BLOCKS = "doc_id bigint, prose boolean, end_pos bigint, right string, second string, last string, ends array<bigint>, lefts array<string>, rights array<string>, seconds array<string>, odds array<double>"
-_LISTS = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64())
+#: Counts of the model by table: of left types (gaps, those before small letters, ends of blocks, ends), of right types (all, begun
+#: blocks, begun sentences), of pairs of both and of the first two tokens (all, boundaries), of words that stand without a stop
+#: (by the type they have with a period), and of classes (all, boundaries).
+_TABLES = {"left": 4, "right": 3, "pair": 2, "two": 2, "bare": 1, "class": 2}
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The slot of a pair of slots."""
+    mixed = (a.astype(np.int64) * 0x9E3779B1 + b.astype(np.int64) * 0x85EBCA77) & 0xFFFFFFFF
+    return ((mixed ^ (mixed >> 15)) * 0x2C1B3C6D >> 8) & (_SLOTS - 1)
+
+
+class Model:
+    """The counts of a round, dense by slot."""
+
+    def __init__(self, rows: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.rows = rows
+        for name, width in _TABLES.items():
+            held = np.zeros((len(_START) if name == "class" else _SLOTS, width), np.float32)
+            slots, values = rows.get(name, (np.empty(0, np.int64), np.empty((0, width))))
+            held[slots] = values
+            setattr(self, {"class": "kinds"}.get(name, name), held)
+        own = self.kinds.sum(0)
+        blocks = self.right[:, 1].sum()
+        #: The share of boundaries that end a block.
+        self.rate = float(np.clip(blocks / max(1.0, blocks + own[1]), 0.05, 0.3))
+        lower = np.arange(len(_START)) % len(_CASES) == _SMALL
+        stops = np.arange(len(_START)) >= _BLANK_CLASSES
+        #: The share of boundaries behind a stop that a small letter follows.
+        self.low = float(np.clip(self.kinds[lower & stops, 1].sum() / max(1.0, self.kinds[stops, 1].sum()), 0.002, 0.05))
+
+    def __reduce__(self):
+        return Model, (self.rows,)
+
+    def first_guess(self, right: np.ndarray, less: np.ndarray) -> np.ndarray:
+        """Log odds of a boundary by how often the right type begins blocks; ``less`` of its occurrences are left out if others are left."""
+        n, block = self.right[right, 0], self.right[right, 1]
+        n = np.where(n - less >= LEAST_COUNT, n - less, n)
+        s = np.clip(block / np.maximum(n, 1) / self.rate, 0.03, 0.97)
+        # a few occurrences that begin no block say little against a type
+        return np.where(n < LEAST_COUNT, 0.0, np.maximum(np.log(s / (1 - s)), n * np.log((1 - self.rate) / 0.99)))
+
+    def ends_blocks(self, left: np.ndarray) -> np.ndarray:
+        """Log odds that a type can end sentences, by the blocks it ends: one that stands before many gaps and never ends a block cannot."""
+        n, final = self.left[left, 0], self.left[left, 2]
+        return np.clip(final * np.log(self.rate / 0.004) + n * np.log((1 - self.rate) / 0.996), -8.0, 2.0)
+
+    def is_a_word(self, left: np.ndarray) -> np.ndarray:
+        """Log odds for a type that also stands without its period, as no abbreviation does."""
+        return np.clip(4 * np.log((self.bare[left, 0] + 0.5) / (0.1 * self.left[left, 0] + 0.5)), 0.0, 8.0)
+
+    def goes_on(self, left: np.ndarray) -> np.ndarray:
+        """Log odds that a type stands inside sentences, by how often a small letter follows."""
+        n, low = self.left[left, 0], self.left[left, 1]
+        return np.clip(low * np.log(0.4 / self.low) + (n - low) * np.log(0.6 / (1 - self.low)), -6.0, 6.0)
+
+
+def _logit(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Smoothed log odds of hits among n, at most 3.5 either way."""
+    hits = np.maximum(hits, 0)
+    n = np.maximum(n, hits)
+    return np.where(n >= LEAST_COUNT, np.clip(np.log((hits + 0.5) / (n - hits + 0.5)), -3.5, 3.5), 0.0)
+
+
+def unary_odds(kind: np.ndarray, left: np.ndarray, right: np.ndarray, second: np.ndarray, model: Model | None, first: bool) -> np.ndarray:
+    """Log odds of a boundary at each gap, neighbouring gaps aside."""
+    if model is None:
+        return _START[kind]
+    seen, ended = model.kinds[kind, 0], model.kinds[kind, 1]
+    # the first odds count as some gaps already seen
+    begin = WEIGHT / (1 + np.exp(-_START[kind]))
+    prior = np.clip(np.log((ended + begin) / (seen + WEIGHT - ended - begin)), _START[kind] - 1, 7.0)
+    prior = np.where(kind < _BLANK_CLASSES, 0.0, prior)
+    group, case = kind // len(_CASES), kind % len(_CASES)
+    low, upper, stopped = case == _SMALL, case == _CASES.index("upper"), group >= _KINDS.index("period")
+    # what a token does is estimated beside other neighbours (leaving the pair out), or a pair that always stands together would confirm what was first believed
+    both = model.pair[_pair(left, right)]
+    right_odds, left_odds = model.first_guess(right, both[:, 0]), 0.0
+    if not first:
+        two = model.two[_pair(right, second)]
+        left_odds = _logit(model.left[left, 3] - both[:, 1], model.left[left, 0] + model.left[left, 2] - both[:, 0])
+        right_odds = right_odds + _logit(model.right[right, 2] - both[:, 1], model.right[right, 0] - both[:, 0])
+        right_odds += np.where(second >= 0, np.clip(np.log((two[:, 1] + 0.5) / (two[:, 0] - two[:, 1] + 0.5)), -1.0, 1.0), 0.0)
+    # behind a single period the token before decides with what follows; of a small letter only the token before can tell
+    ends = model.ends_blocks(left)
+    ends = np.where(upper, np.clip(np.maximum(ends, -5.0) + model.is_a_word(left), -5.0, 2.0), ends)
+    number = group == _KINDS.index("number")
+    period = prior + np.where(low, -np.maximum(model.goes_on(left) - model.is_a_word(left), -6.0), np.where(number, 0.0, ends) + np.clip(right_odds, np.where(number, -6.0, -2.5), 6.0))
+    other = prior + np.clip(left_odds + right_odds, -1.5, 1.5)
+    return np.where(group == 0, np.clip(left_odds + right_odds, -8.0, 8.0), np.where(stopped, period, other))
+
+
+def posteriors(block: np.ndarray, position: np.ndarray, kind: np.ndarray, size: np.ndarray, unary: np.ndarray) -> np.ndarray:
+    """Forward-backward over the gaps of blocks laid end to end: the probability of a boundary at each.
+
+    Neighbouring blanks are coupled: a sentence of a single token between two gaps is unlikely. All chains are worked at once, step by step.
+    """
+    n = len(unary)
+    if not n:
+        return unary
+    tied = np.zeros(n, bool)  # with the gap before
+    tied[1:] = (block[1:] == block[:-1]) & (kind[1:] < _BLANK_CLASSES) & (kind[:-1] < _BLANK_CLASSES) & (position[1:] - position[:-1] <= size[1:])
+    ahead, behind = unary.astype(np.float64).copy(), np.zeros(n)
+    start = np.flatnonzero(~tied)
+    length = np.diff(np.append(start, n))
+    order = np.argsort(-length, kind="stable")
+    start, length = start[order], length[order]
+    near, far = np.exp(-3.0), 1.0
+    for k in range(1, int(length[0])):
+        at = start[: np.searchsorted(-length, -k, "left")] + k
+        before = np.exp(np.clip(ahead[at - 1], -60, 60))
+        ahead[at] += np.log((far + before * near) / (far + before))
+    for k in range(1, int(length[0])):
+        m = np.searchsorted(-length, -k, "left")
+        at = start[:m] + length[:m] - 1 - k
+        after = np.exp(np.clip(behind[at + 1] + unary[at + 1], -60, 60))
+        behind[at] = np.log((far + after * near) / (far + after))
+    return 1 / (1 + np.exp(-np.clip(ahead + behind, -60, 60)))
+
+
+_BLOCKS = "doc_id bigint, prose boolean, end_pos bigint, right int, second int, last int, ends array<bigint>, classes array<tinyint>, lefts array<int>, rights array<int>, seconds array<int>, sizes array<int>"
+_HEAD = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+_GAP = (pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
 
 
 def _block_rows(batches):
     for batch in batches:
-        head, gap_columns = [[] for _ in range(6)], [[] for _ in range(5)]
+        head, gap_columns, counts, bare = [[] for _ in _HEAD], [[] for _ in _GAP], [0], Counter()
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for *own, found in parsed(text):
                 for column, value in zip(head, (doc, *own)):
                     column.append(value)
-                for column, values in zip(gap_columns, zip(*found) if found else [()] * 5):
-                    column.append(list(values))
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string())
-        columns = [pa.array(c, k) for c, k in zip(head, kinds)] + [pa.array(c, pa.list_(k)) for c, k in zip(gap_columns, _LISTS)]
+                for column, values in zip(gap_columns, zip(*found)):
+                    column.extend(values)
+                counts.append(counts[-1] + len(found))
+            bare.update(text.split())
+        # one row more for the words without a stop: their slots and counts
+        told = [(0, 0, _slot(token_type(w + ".")), n, 0, 0) for w, n in bare.items() if w[-1].isalpha()]
+        for column, value in zip(head, (None, False, -1, -1, -1, -1)):
+            column.append(value)
+        for column, values in zip(gap_columns, zip(*told)):
+            column.extend(values)
+        counts.append(counts[-1] + len(told))
+        offsets = pa.array(counts, pa.int32())
+        columns = [pa.array(c, k) for c, k in zip(head, _HEAD)] + [pa.ListArray.from_arrays(offsets, pa.array(c, k)) for c, k in zip(gap_columns, _GAP)]
         yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _BLOCKS.split(", ")])
 
 
@@ -384,33 +459,61 @@ def parsed_blocks(documents: DataFrame) -> DataFrame:
 
 
 def _gaps_of(batch):
-    """The gaps of each block of a batch, as ``gaps`` gives them."""
-    columns = [batch.column(k).to_pylist() for k in range(6, 11)]
-    return [list(zip(*own)) for own in zip(*columns)]
+    """The gaps of a batch laid end to end: block, position, class, left, right, second, size."""
+    lists = [batch.column(k) for k in range(6, 12)]
+    block = np.repeat(np.arange(batch.num_rows), lists[0].value_lengths().to_numpy(zero_copy_only=False))
+    return (block, *(x.flatten().to_numpy(zero_copy_only=False) for x in lists))
+
+
+def _decided(batch, model: Model | None, first: bool):
+    block, position, kind, left, right, second, size = _gaps_of(batch)
+    kind, left, right, second = (x.astype(np.int64) for x in (kind, left, right, second))
+    p = posteriors(block, position, kind, size, unary_odds(kind, left, right, second, model, first))
+    return block, position, kind, left, right, second, p
+
+
+def _sums(name: str, slots: np.ndarray, *values: np.ndarray):
+    """Sums of some values by slot, as rows of the model's tables."""
+    slots, inverse = np.unique(slots, return_inverse=True)
+    sums = [np.bincount(inverse, v, len(slots)).astype(np.float64) for v in values]
+    sums += [np.zeros(len(slots))] * (4 - len(sums))
+    return pa.RecordBatch.from_arrays([pa.array([name] * len(slots), pa.string()), pa.array(slots, pa.int32()), *(pa.array(x) for x in sums)], names=["name", "slot", "a", "b", "c", "d"])
 
 
 def _count_rows(model: Model | None, first: bool):
+    """The expected counts of blocks of prose, added up a batch at a time."""
+
     def run(batches):
         for batch in batches:
-            counts = {k: Counter() for k in _KINDS}
-            prose, right, second, last = (batch.column(k).to_pylist() for k in (1, 3, 4, 5))
-            for p, r, s, w, found in zip(prose, right, second, last, _gaps_of(batch)):
-                if p:
-                    count_block(r, s, w, found, model, first, counts)
-            rows = [(kind, key, float(n)) for kind, own in counts.items() for key, n in own.items() if n > 0]
-            columns = list(zip(*rows)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()))], names=["kind", "entry", "n"])
+            words = pa.compute.equal(batch.column(2), -1)
+            slots, n = (batch.filter(words).column(c).flatten().to_numpy(zero_copy_only=False) for c in (8, 9))
+            yield _sums("bare", slots.astype(np.int64), n)
+            batch = batch.filter(pa.compute.invert(words))
+            prose = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            right0, second0, last = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)[prose] for k in (3, 4, 5))
+            _, _, kind, left, right, second, p = _decided(batch, model, first)
+            one, none = np.ones(len(p)), np.zeros(len(p))
+            low = (kind % len(_CASES) == _SMALL) & (kind >= _BLANK_CLASSES)
+            last = last[last >= 0]
+            yield _sums("left", np.concatenate((left, last)), *(np.concatenate(x) for x in ((one, 0.0 * last), (low, 0.0 * last), (none, 1.0 + 0 * last), (p, 1.0 + 0 * last))))
+            begun = np.ones(len(right0))
+            yield _sums("right", np.concatenate((right, right0)), np.concatenate((one, begun)), np.concatenate((none, begun)), np.concatenate((p, begun)))
+            yield _sums("pair", _pair(left, right), one, p)
+            known, known0 = second >= 0, second0 >= 0
+            yield _sums("two", np.concatenate((_pair(right[known], second[known]), _pair(right0[known0], second0[known0]))), np.concatenate((one[known], begun[known0])), np.concatenate((p[known], begun[known0])))
+            yield _sums("class", kind, one, p)
 
     return run
 
 
 def _round(blocks: DataFrame, model: Model | None, first: bool) -> Model:
-    counts = blocks.mapInArrow(_count_rows(model, first), "kind string, entry string, n double").groupBy("kind", "entry").agg(F.sum("n").alias("n"))
-    own: dict[str, dict] = {k: {} for k in _KINDS}
-    for row in staged(counts, "counts").toLocalIterator():  # all of them: the model grows with the vocabulary of the corpus
-        own[row[0]][row[1]] = row[2]
-    begun = sum(own["block"].values())
-    return Model(own, begun / max(1.0, begun + own["sure"].get("", 0.0)))
+    counts = blocks.mapInArrow(_count_rows(model, first), "name string, slot int, a double, b double, c double, d double")
+    counts = staged(counts.groupBy("name", "slot").agg(*(F.sum(c).alias(c) for c in "abcd")), "counts")
+    own = {}
+    for name, width in _TABLES.items():  # at most 2**SLOT_BITS rows each
+        rows = counts.where(F.col("name") == name).select("slot", *"abcd"[:width]).toArrow()
+        own[name] = (rows.column(0).to_numpy().astype(np.int64), np.stack([rows.column(k + 1).to_numpy() for k in range(width)], 1))
+    return Model(own)
 
 
 def train_on_blocks(blocks: DataFrame, rounds: int = ROUNDS) -> Model:
@@ -425,27 +528,31 @@ def train(documents: DataFrame, rounds: int = ROUNDS) -> Model:
     return train_on_blocks(staged(parsed_blocks(documents), "blocks"), rounds)
 
 
-def _end_rows(model: Model):
+def _end_rows(model: Model | None):
     def run(batches):
         for batch in batches:
-            ids, ends = [], []
-            for doc, end, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), _gaps_of(batch)):
-                own = [g[0] for g, p in zip(found, posteriors(found, model, False)) if p > 0.5]
-                own.append(end)
-                ids += [doc] * len(own)
-                ends += own
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ends, pa.int64())], names=["doc_id", "end_pos"])
+            batch = batch.filter(pa.compute.greater_equal(batch.column(2), 0))
+            doc, end = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+            block, position, *_, p = _decided(batch, model, False)
+            cut = p > 0.5
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((doc[block[cut]], doc)), pa.int64()), pa.array(np.concatenate((position[cut], end)), pa.int64())], names=["doc_id", "end_pos"])
 
     return run
 
 
+def sentence_ends(text: str, model: Model | None) -> list[int]:
+    """End positions of a text's sentences."""
+    rows = pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([text])], names=["doc_id", "text"])
+    return sorted({e for found in _end_rows(model)(_block_rows([rows])) for e in found.column(1).to_pylist()})
+
+
 def sentences(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per sentence: doc_id and end_pos, the number of characters through the sentence's last one.
 
     ``documents`` has doc_id bigint and text string. Without a model one is trained on the documents first.
     """
-    blocks = parsed_blocks(documents)
+    blocks = parsed_blocks(documents.where("doc_id is not null"))
     if model is None:
         blocks = staged(blocks, "blocks")
         model = train_on_blocks(blocks)
-    return blocks.where("doc_id is not null").mapInArrow(_end_rows(model), "doc_id bigint, end_pos bigint").distinct()
+    return blocks.mapInArrow(_end_rows(model), "doc_id bigint, end_pos bigint").distinct()
