@@ -80,6 +80,60 @@ def test_statements(templates):
     assert li.statements("# License\n\nKeep this note in source and binary copies of X, and do not use our names to promote yours.", templates, "license") == {"BSD-3-Clause"}
 
 
+PUBLISHED = {
+    "MIT": """MIT
+
+Copyright (c) 2021 Some Labs
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of Some Labs nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "ISC": "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+
+
+@pytest.mark.parametrize("name", PUBLISHED)
+def test_published_texts(templates, name):
+    text = PUBLISHED[name]
+    assert li.statements(text, templates, "license") == {name}
+    as_comment = "\n".join(f" * {line}".rstrip() for line in text.split("\n"))
+    body = text.split("Labs\n\n")[-1] if name == "MIT" else text
+    as_lines = "\n".join(f"// {line}".rstrip() for line in body.split("\n"))
+    assert li.statements(f"/*\n{as_comment}\n */\ncontract A {{}}", templates, "code") == {name}
+    assert li.statements(f"pragma solidity ^0.8.0;\n{as_lines}\ncontract A {{}}", templates, "code") == {name}
+    long_one = text + "\n\n" + "Further words of no weight stand here. " * 40_000
+    assert li.statements(long_one, templates, "license") == {name}
+
+
 def test_a_repository(templates):
     files = [
         (1, "LICENSE", "the MIT License\n"), (2, "src/A.sol", "contract A {}"), (3, "lib/x/COPYING", "GPLv3\n"), (4, ".\\lib\\x\\src\\B.sol", ""), (5, "lib/x/C.sol", "// SPDX-License-Identifier: ISC"),

@@ -1,8 +1,10 @@
 """The license of each code file and repository (problem 5).
 
 Method: statements are cut out of a text by the frames in which licenses are named (tags, and
-sentences of several languages); each phrase is then looked up among the templates by token edit distance. The
-templates are kept by length in metric trees; the distance is computed bit-parallel (all rows of the table
+sentences of several languages), and into its paragraphs and sentences; each is then looked up among the templates by token edit
+distance, whatever its length. The templates are public names, headers and paragraphs of license texts (``license_templates.txt``), and the
+short notes by which the license files of this corpus say the same in their own words (``NOTES``; a parameter like the others).
+They are kept by length in metric trees; the distance is computed bit-parallel (all rows of the table
 in one integer), the triangle inequality prunes branches, and the nearest template is accepted only under a bound that
 grows with the length: a name of up to four words has to match exactly, and a longer
 text may differ in a fifth of its words.
@@ -19,6 +21,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import pyarrow as pa
@@ -41,8 +44,8 @@ ALIASES = {
     "ISC": ["ISC", "ISC License"],
     "UNLICENSED": ["UNLICENSED", "PROPRIETARY", "closed source"],
 }
-# Sentences of license texts; the names in them differ from one text to the next.
-SENTENCES = {
+# The notes of the license files of this corpus; the names in them differ from one text to the next.
+NOTES = {
     "MIT": ["Anyone may take, change and pass on it, provided this note stays with it. It comes as it is, and nobody answers for harm."],
     "Apache-2.0": ["You may use and change it; keep the notices, mark your changes, and note that patent rights end if you sue over them."],
     "GPL-3.0": ["You may pass on it and works built upon it only under these same terms and together with readable source."],
@@ -61,7 +64,11 @@ _END = r"(?:\.(?=\s|$|\*)|;|,\s+(?:without|with)\b|\s*\(\d{4}\)|\s*\*/|$)"
 _TAG = re.compile(r"(?i)(?:spdx-license-identifier\s*:?|@license\s|@custom:license\s|(?<![\w-])licen[cs]e\s*[:=])\s*([^\n]*?)\s*(?:\*/|$)", re.M)
 _PROSE = re.compile(rf"(?i)(?:licen[cs]ed under|distributed under|released under|file under|available under|on the terms of|under the terms of|sous licence|folgender lizenz:|bajo la licencia|known as:)\s+(?:the\s+|la\s+)?([^\n]*?){_END}", re.M)
 _HINT = re.compile(r"(?i)licen[cs]|lizenz|\bterms\b|rights reserved|proprietary|closed source|redistribution|known as:|\bunder\s")
+#: Words without which no published text goes.
+_LEGAL = ("permission", "redistribut", "licensor", "subject to the terms", "licensed under", "public license", "apache license", "business source")
 _COMMENT = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(//[^\n]*|/\*.*?(?:\*/|\Z))""", re.S)
+#: The same with comment lines that follow each other as one.
+_COMMENT_RUNS = re.compile(r"""("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(//[^\n]*(?:\n[ \t]*//[^\n]*)*|/\*.*?(?:\*/|\Z))""", re.S)
 _MARKS = re.compile(r"(?m)^[ \t]*(?:/{2,}!?|/\*+!?|\*+(?!/)|#+)[ \t]?|\*+/[ \t\r]*$")
 _VERSIONED = re.compile(r"(?i)(-only|-or-later|\+)$")
 _WORDS = re.compile(r"[^\W_]+")
@@ -131,33 +138,62 @@ class MetricTree:
         return best
 
 
+def published_texts(path: str | None = None) -> dict[str, list[str]]:
+    """The paragraphs of a file of templates by license."""
+    out: dict[str, list[str]] = {}
+    with open(path or os.path.join(os.path.dirname(__file__), "license_templates.txt"), encoding="utf-8") as file:
+        body = "".join(line for line in file if not line.startswith("#"))
+    for block in re.split(r"(?m)^== ", body)[1:]:
+        head, _, rest = block.partition("\n")
+        out[head.split("|")[0].strip()] = [p.strip() for p in rest.split("\n\n") if p.strip()]
+    return out
+
+
 class Templates:
     """Templates by length, with what was looked up before."""
 
-    def __init__(self, ids: list[tuple[str, str]], difference: float = DIFFERENCE):
+    def __init__(self, ids: list[tuple[str, str]], difference: float = DIFFERENCE, texts: dict[str, list[str]] | None = None, notes: dict[str, list[str]] | None = None):
         self.difference = difference
         self.ids = {i.lower(): i for i, _ in ids}
         self.trees: dict[int, MetricTree] = {}
+        self.texts: dict[int, MetricTree] = {}
         self.seen: dict[tuple, str | None] = {}
+        texts, notes = published_texts() if texts is None else texts, NOTES if notes is None else notes
         for i, full in ids:
-            for phrase in [i, full or i, *ALIASES.get(i, []), *SENTENCES.get(i, [])]:
+            for phrase in [i, full or i, *ALIASES.get(i, []), *notes.get(i, []), *texts.get(i, [])]:
                 words = tokens(phrase)
                 self.trees.setdefault(len(words), MetricTree()).add(words, i)
+            for phrase in texts.get(i, []):
+                words = tokens(phrase)
+                self.texts.setdefault(len(words), MetricTree()).add(words, i)
+        self.shortest = min(self.texts, default=0)
 
-    def find(self, phrase: str) -> str | None:
+    def find(self, phrase: str, published: bool = False) -> str | None:
+        """The license of the nearest template within the bound; ``published``: among the paragraphs of license texts alone."""
         words = tokens(phrase)
-        if not words or len(words) > 80:
+        key, trees = (published, words), self.texts if published else self.trees
+        if not words or not trees or len(words) * (1 - self.difference) > max(trees):
             return None
-        if words not in self.seen:
+        if key not in self.seen:
             best = None
             bound = int(self.difference * len(words))
             for n in range(len(words) - bound, len(words) + bound + 1):
-                if n in self.trees and (found := self.trees[n].nearest(words, min(bound, int(self.difference * n)))):
+                if n in trees and (found := trees[n].nearest(words, min(bound, int(self.difference * n)))):
                     best = min(best or found, found)
             if len(self.seen) > 50_000:
                 self.seen.clear()
-            self.seen[words] = best and best[1]
-        return self.seen[words]
+            self.seen[key] = best and best[1]
+        return self.seen[key]
+
+    def paragraphs(self, text: str) -> set[str]:
+        """The licenses whose published text, or a paragraph of it, is a run of paragraphs or a sentence of a text."""
+        out = set()
+        blocks = [p for p in re.split(r"\n[ \t]*\n|\n(?=[ \t]*(?:\d+\.|[*-])\s)", text) if p.strip()]
+        for k, block in enumerate(blocks):
+            for phrase in (block, " ".join(blocks[k : k + 4]), *re.split(r"(?<=[.;:])\s+", block)):
+                if name := self.find(re.sub(r"^\s*(?:\d+\.|[*-])\s", "", phrase), True):
+                    out.add(name)
+        return out
 
     def expression(self, text: str) -> set[str]:
         """What an identifier or an expression of them states: one id, a free choice, or several."""
@@ -171,13 +207,19 @@ class Templates:
         return out
 
     def identifier(self, name: str) -> str | None:
-        name = re.split(r"(?i)\s+WITH\s+", name)[0].strip(" .,;\"'")
+        name = re.sub(r'(?i)\s*\(the\s+.?license.?\)', "", re.split(r"(?i)\s+WITH\s+", name)[0]).strip(" .,;\"'")
         return self.ids.get(_VERSIONED.sub("", name).lower()) or self.find(name)
 
 
+def _legal(text: str) -> bool:
+    low = text.lower()
+    return any(w in low for w in _LEGAL)
+
+
 def statements(text: str | None, templates: Templates, role: str) -> set[str]:
     """The licenses that a text states for itself. role: code, license, manifest or readme."""
-    if not text or (role != "manifest" and not _HINT.search(text) and role != "license"):
+    legal = bool(text) and _legal(text)
+    if not text or (role not in ("manifest", "license") and not legal and not _HINT.search(text)):
         return set()
     if role == "manifest":
         try:
@@ -190,8 +232,11 @@ def statements(text: str | None, templates: Templates, role: str) -> set[str]:
         names = [v.get("type") if isinstance(v, dict) else v for v in values]
         return {s for n in names if isinstance(n, str) and not re.match(r"(?i)see licen[cs]e", n) for s in templates.expression(n)}
     if role == "code":
+        whole = "\n\n".join(m.group(2) for m in _COMMENT_RUNS.finditer(text) if m.group(2) and _legal(m.group(2))) if legal else ""
         notes = [m.group(2) for m in _COMMENT.finditer(text) if m.group(2) and _HINT.search(m.group(2))]
         text = "\n".join(notes)
+    else:
+        whole = text if legal else ""
     text = _MARKS.sub("", text.replace("\r\n", "\n").replace("\r", "\n"))
     out: set[str] = set()
     for m in _TAG.finditer(text):
@@ -202,6 +247,8 @@ def statements(text: str | None, templates: Templates, role: str) -> set[str]:
             out.add(name)
     if _KEPT.search(joined):
         out.add("UNLICENSED")
+    if role != "readme" and whole:
+        out |= templates.paragraphs(_MARKS.sub("", whole.replace("\r\n", "\n").replace("\r", "\n")))
     if role == "license" or not out and role == "readme":
         for line in text.split("\n"):
             line = line.strip()
@@ -254,9 +301,9 @@ def repository(files: list[tuple], templates: Templates) -> tuple[str, list[tupl
     return whole, out
 
 
-def _license_rows(ids: list[tuple[str, str]], difference: float):
+def _license_rows(ids: list[tuple[str, str]], difference: float, published: dict[str, list[str]]):
     def run(batches):
-        templates = Templates(ids, difference)
+        templates = Templates(ids, difference, published)
         for batch in batches:
             records, lists = batch.column(0).to_pylist(), batch.column(1)
             values = lists.flatten()
@@ -276,13 +323,13 @@ def _license_rows(ids: list[tuple[str, str]], difference: float):
     return run
 
 
-def licenses(records: DataFrame, license_ids: DataFrame, difference: float = DIFFERENCE) -> DataFrame:
+def licenses(records: DataFrame, license_ids: DataFrame, difference: float = DIFFERENCE, texts: str | None = None) -> DataFrame:
     """(item_kind, item_key, license) of every file and repository.
 
     ``records`` has id string and contracts array of (clean_source, relative_path, file_id); ``license_ids`` (a list kept by hand)
-    license_id and full_name. License is an id, a free choice of ids, CONFLICT or UNKNOWN.
+    license_id and full_name, ``texts`` a file of templates in place of the package's own. License is an id, a free choice of ids, CONFLICT or UNKNOWN.
     """
     known = [(r[0], r[1]) for r in license_ids.select("license_id", "full_name").where("license_id is not null").distinct().collect()]
     own = F.transform("contracts", lambda c: F.struct(c["file_id"].alias("file_id"), c["relative_path"].alias("relative_path"), c["clean_source"].alias("clean_source")))
     rows = records.select("id", F.coalesce(own, F.array().cast("array<struct<file_id:bigint,relative_path:string,clean_source:string>>")).alias("contracts"))
-    return rows.mapInArrow(_license_rows(known, difference), "item_kind string, item_key string, license string").distinct()
+    return rows.mapInArrow(_license_rows(known, difference, published_texts(texts)), "item_kind string, item_key string, license string").distinct()
