@@ -58,6 +58,8 @@ _STRING = re.compile(r'"[^"\n]*"?|\'[^\'\n]*\'?')
 _NUMBER = re.compile(r"\b(?:0x[0-9a-fA-F]+|\d[\d_]*(?:\.\d+)?(?:e\d+)?)\b")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
 _NUMBERED_ERROR = re.compile(r"\berror \w*[A-Za-z]\d+\(")
+#: A declaration without a body in a typed script: a name, parameters, and a type with parameters of its own.
+_SIGNATURE = re.compile(r"""["']?[\w$(),\[\]]+["']?\??\s*(?:<[^>]*>)?\([^{}]*\)\s*:\s*[\w.]+<[^{}]*>\s*[;,]$""")
 _ORIGIN = re.compile(r"(?i)\b(?:vendored|copied|imported|taken|borrowed)\s+from\s+(@?[\w./-]*\w)[\s,]+v?(?:tag\s*)?\d|\bupstream:\s*(@?[\w./-]*\w)\s*,")
 
 
@@ -97,7 +99,7 @@ def composition(text: str | None) -> str | None:
     if declared >= 4 and declared >= 0.7 * len(code) and re.search(r"\binterface\b", bare):
         if len(_NUMBERED_ERROR.findall(bare)) >= 2 or not re.search(r"///|/\*\*(?!\s*\n?\s*\*?[^*]*SPDX)", text):
             return "generated"
-    typed = sum("overrides?:" in line and "Promise<" in line for line in code)
+    typed = sum(bool(_SIGNATURE.match(line)) for line in code)
     if typed >= 3 and typed >= 0.6 * len(code):
         return "generated"
     return None
@@ -166,7 +168,7 @@ def _file_rows(packages: frozenset[str], least_line: int):
 
 
 def not_handwritten(files: DataFrame, packages: DataFrame, contained: float = CONTAINED, least_line: int = LEAST_LINE) -> DataFrame:
-    """The files that are generated, minified, vendored or data: file_id, kind, origin (of vendored ones) and containment.
+    """The files that are generated, minified, vendored or data: file_id, kind, origin (of vendored ones) and containment (measured; null where a path or a note says it).
 
     ``files`` has file_id bigint, relative_path string and clean_source string, ``packages`` (a list kept by hand) package string.
     """
@@ -201,5 +203,6 @@ def not_handwritten(files: DataFrame, packages: DataFrame, contained: float = CO
         .groupBy("file_id").agg(F.max(F.struct((F.col("hits") / F.col("own_lines")).alias("containment"), "origin")).alias("best"))
         .select("file_id", F.lit("vendored").alias("kind"), F.col("best.origin").alias("origin"), F.round("best.containment", 6).alias("containment"))
     )
-    said = seen.where("kind is not null").select("file_id", "kind", "origin", F.when(F.col("origin").isNotNull(), F.lit(1.0)).alias("containment"))
-    return said.unionByName(hits).dropDuplicates(["file_id"])
+    said = seen.where("kind is not null").select("file_id", "kind", "origin", F.lit(None).cast("double").alias("containment"))
+    found = said.unionByName(hits)
+    return found.groupBy("file_id").agg(F.min(F.struct("kind", "origin", "containment")).alias("f")).select("file_id", "f.kind", "f.origin", "f.containment")

@@ -36,6 +36,9 @@ from vericorpus.session import staged
 #: Least length of a reported passage, in characters.
 SPAN = 400
 
+#: What the kind of an item without an id ends with inside.
+UNNAMED = "\u0000?"
+
 _WINDOWS = "item_kind string, item_id bigint, owner bigint, signature bigint, region bigint, first int, starts int"
 #: Bits of a sliding key that hold the position inside a block; the rest is the hash.
 _POSITION_BITS = 24
@@ -202,8 +205,12 @@ def shared_spans(items: DataFrame, span: int = SPAN, most_in_a_group: int = 1024
     task; the result is the same. Returns item_kind, item_id, n_chars of the passages' union (shared_chars) and
     the number of disjoint passages (passages), for items that have any.
     """
+    # items without an id get a kind and a number of their own, so that their texts can be found again
+    named = F.col("item_id").isNotNull()
     items = items.where(F.char_length("text") >= span).select(
-        "item_kind", F.col("item_id").cast("bigint").alias("item_id"), F.xxhash64("item_kind", F.coalesce(F.col("owner"), F.lit(""))).alias("owner"), "text"
+        F.when(named, F.col("item_kind")).otherwise(F.concat(F.coalesce("item_kind", F.lit("")), F.lit(UNNAMED))).alias("item_kind"),
+        F.when(named, F.col("item_id").cast("bigint")).otherwise(F.xxhash64("text")).alias("item_id"),
+        F.xxhash64("item_kind", F.coalesce(F.col("owner"), F.lit(""))).alias("owner"), "text",
     )
     windows = staged(items.mapInArrow(_window_rows(span), _WINDOWS), "windows")
 
@@ -222,7 +229,7 @@ def shared_spans(items: DataFrame, span: int = SPAN, most_in_a_group: int = 1024
         .groupBy("model.item_kind", "model.item_id")
         .agg(F.collect_list(F.struct("signature", "region", "low", "high", "regions", "model.first", "model.starts")).alias("asked"))
     )
-    texts = items.where("item_id is not null").select("item_kind", "item_id", "text")
+    texts = items.select("item_kind", "item_id", "text")
     contexts = texts.join(asked, ["item_kind", "item_id"]).select("text", "asked")
     small = F.filter("asked", lambda x: x["regions"] <= most_in_a_group)
     large = F.filter("asked", lambda x: x["regions"] > most_in_a_group)
@@ -242,7 +249,7 @@ def shared_spans(items: DataFrame, span: int = SPAN, most_in_a_group: int = 1024
 
     settled = whole.unionByName(verified).unionByName(frequent).distinct()
     passages = (
-        found.where("item_id is not null")
+        found.where(~F.endswith(F.col("item_kind"), F.lit(UNNAMED)))
         .join(settled, ["signature", "region"])
         .select("item_kind", "item_id", (F.col("first") + F.col("offset")).alias("a"), (F.col("first") + F.col("offset") + F.coalesce("run", "starts") - 1 + span).alias("b"))
         .groupBy("item_kind", "item_id")
