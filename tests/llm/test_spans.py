@@ -62,8 +62,8 @@ def test_a_copy_without_an_id_hides_nothing(spark):
     rng = random.Random(8)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     common, mine = word(60), word(30)
-    own = mine + common + word(30)
-    rows = [("file", None, "a", own), ("file", 5, "a", own), ("file", 6, "b", word(50) + common + word(20)), ("file", None, "c", word(9) + common)]
+    own = mine + "!" + common + "!" + word(30)
+    rows = [("file", None, "a", own), ("file", 5, "a", own), ("file", 6, "b", word(50) + "?" + common + "?" + word(20)), ("file", None, "c", word(9) + "." + common)]
     got = spans.shared_spans(spark.createDataFrame(rows, "item_kind string, item_id bigint, owner string, text string"), 40).collect()
     assert {(r["item_id"], r["shared_chars"]) for r in got} == {(5, 60), (6, 60)}
 
