@@ -93,6 +93,10 @@ def test_rewrites(spark):
     assert rewritten(spark, "zero_address", "a != address( 0 )") == "a != 0x0"
     methods = "methods {\n    function f(uint) external;\n    function g() external envfree;\n}"
     assert rewritten(spark, "env_arguments", "rule r() {\n env e;\n f(1); f(e, 2); g(); f();\n}\nrule q() {\n f(1);\n}", methods=methods) == "rule r(){\n env e;\n f(e, 1); f(e, 2); g(); f(e);\n}\nrule q() {\n f(1);\n}"
+    assert rewritten(spark, "env_arguments", "rule r() {\n env e;\n f( e, 2); f( e ); f(\n1 ); h(f(1)); f(e.msg.value); f(env x);\n}", methods=methods) == "rule r(){\n env e;\n f( e, 2); f( e ); f(e, 1); h(f(e, 1)); f(e, e.msg.value); f(env x);\n}"
+    assert rewritten(spark, "env_arguments", "rule r() {\n env e;\n f(1);", methods=methods) == "rule r() {\n env e;\n f(1);"
+    assert rewritten(spark, "env_declarations", "\u0001\u0002 rule r() {\n  f(e.x);\n}\n\u0001") == "\u0001\u0002 rule r() {\n    env e;\n\n  f(e.x);\n}\n\u0001"
+    assert rewritten(spark, "env", "\u0001\nrule a \u0001{ msg.sender; }") == "\u0001\nrule a \u0001{ e.msg.sender; }"
     assert rewritten(spark, "invariants", "invariant i(uint x) { a == b; }\n") == "invariant i(uint x)\n    a == b;\n"
     assert rewritten(spark, "invariants", "invariant i()\n    a == b\nrule r { }") == "invariant i()\n    a == b;\nrule r { }"
 

@@ -65,6 +65,15 @@ def function_prompt(function, methods, hits, errors) -> Column:
     )
 
 
+def full_prompt(source, name, methods, hits, errors) -> Column:
+    """The prompt for a whole specification in one call, as data; it shows the first twenty known errors."""
+    known = known_error_block(errors, 20)
+    return F.concat(
+        F.lit("CONTRACT: "), F.coalesce(col(name), F.lit("TargetContract")), F.lit("\n"), col(source), F.lit("\n\nMETHODS:\n"), col(methods), F.lit("\n\nREFERENCES:\n"), reference_block(hits),
+        F.when(known != "", F.concat(F.lit("\n\nKNOWN ERRORS:\n"), known)).otherwise(F.lit("")),
+    )
+
+
 def annotated_feedback(issues, known_keys, key) -> Column:
     """Feedback lines, those whose normalized key was seen before marked as recurring."""
     def line(issue: Column) -> Column:

@@ -73,9 +73,18 @@ def after_first(text, head: str) -> Column:
     return F.when(found != "", F.substring(text, F.position(found, text) + F.length(found), F.length(text))).otherwise(text)
 
 
+def with_matches(text, pattern: str, change) -> Column:
+    """A text with every match of a pattern (none empty) changed by ``change(match, k)``, k counting from 0; what stands between stays."""
+    between, found = F.split(col(text), pattern), find_all(text, pattern)
+    changed = F.zip_with(F.transform(found, change), F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda m, t: F.concat(m, t))
+    return F.concat(F.get(between, 0), F.array_join(changed, ""))
+
+
 def pieces(text, head: str) -> Column:
-    """A text cut before every match of a pattern; the pieces joined give the text."""
-    return F.split(F.regexp_replace(col(text), f"({head})", "\u0001$1"), "\u0001")
+    """A text cut before every match of a pattern (none empty); the pieces joined give the text."""
+    between, found = F.split(col(text), head), find_all(text, head)
+    tails = F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0)))
+    return F.concat(F.slice(between, 1, 1), F.zip_with(found, tails, lambda m, t: F.concat(m, t)))
 
 
 def normal_path(path) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vericorpus.functions import responses, solidity
 from vericorpus.functions.text import normal_path
 from vericorpus.operators import closure, evaluation, history, lint, logs, manifest, merge, rewrite, search
-from vericorpus.sources.tables import contract_files, spec_texts, spread, table
+from vericorpus.sources.tables import contract_files, spec_texts, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -422,11 +422,40 @@ def p_index_chunk(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("chunk <> ''").select("spec_id", F.md5("chunk").alias("chunk")).distinct()
 
 
+@query(rf"SELECT file_id, {_family_sql()} AS family, CASE {' '.join(f"WHEN {_family_sql()} = '{name}' THEN '{'|'.join(hints)}'" for name, hints in solidity.HINTS.items())} END AS hints FROM ({_FILES})")
+def p_hints(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).select("file_id", solidity.family("text").alias("family"), F.array_join(solidity.property_hints("text"), "|").alias("hints")).distinct()
+
+
+@query(
+    rf"""SELECT doc_id, md5(CASE doc_id % 4 WHEN 0 THEN replace(text, '```', '') WHEN 1 THEN ' ' || replace(text, '```', '') WHEN 2 THEN {_STRIP.format("replace(text, '```', '')")} ELSE '' END) AS section
+         FROM documents WHERE text IS NOT NULL"""
+)
+def p_section(spark: SparkSession, d: str) -> DataFrame:
+    """Responses without the marker, with an open section, with a closed one between others, and with an empty one."""
+    plain = F.replace("text", F.lit("```"), F.lit(""))
+    made = (
+        F.when(F.col("doc_id") % 4 == 0, plain).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("first ```cvl "), plain))
+        .when(F.col("doc_id") % 4 == 2, F.concat(F.lit("first ```cvl\n\n"), plain, F.lit(" \n```\n and ```cvl second```"))).otherwise(F.concat(F.lit("```cvl```"), plain))
+    )
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.md5(responses.section(made)).alias("section"))
+
+
+_KNOWN_SQL = SQL["h_known_errors"]
+
+
+@query(f"SELECT contract_hash, md5('- ' || string_agg(error, chr(10) || '- ' ORDER BY ord)) AS block FROM ({_KNOWN_SQL}) WHERE ord < 20 GROUP BY 1")
+def p_known_error_block(spark: SparkSession, d: str) -> DataFrame:
+    """The first twenty known errors of each contract as they stand in a full prompt."""
+    known = h_known_errors(spark, d).where("ord < 20").groupBy("contract_hash").agg(F.array_sort(F.collect_list(F.struct("ord", "error"))).alias("errors"))
+    return known.select("contract_hash", F.md5(responses.known_error_block(F.col("errors")["error"])).alias("block"))
+
+
 # --- checks and rewrites of specifications ------------------------------------------------------
 
 
 def _specs(spark: SparkSession, d: str) -> DataFrame:
-    records = spread(table(spark, d, "records"))
+    records = table(spark, d, "records")
     rows = records.select(F.try_element_at("contracts", F.lit(-1))["clean_source"].alias("contract"), F.explode("specs").alias("s"))
     return rows.select(F.col("s.spec_id").alias("spec_id"), F.col("s.text").alias("spec"), F.coalesce("contract", F.lit("")).alias("contract")).where("spec is not null")
 
@@ -535,7 +564,7 @@ def r_cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 def _fragments(spark: SparkSession, d: str) -> DataFrame:
     """A record's specifications taken as the fragments of one project."""
-    rows = spread(table(spark, d, "records")).select(F.col("id").alias("project_id"), F.posexplode("specs").alias("ord", "s"))
+    rows = table(spark, d, "records").select(F.col("id").alias("project_id"), F.posexplode("specs").alias("ord", "s"))
     return rows.select("project_id", "ord", F.col("s.text").alias("text")).where("project_id is not null and text is not null").distinct()
 
 
@@ -590,6 +619,29 @@ def g_edges(spark: SparkSession, d: str) -> DataFrame:
     return closure.import_edges(_projects(spark, d))
 
 
+@query(
+    _EDGES.rsplit(",\n         candidates", 1)[0]
+    + rf""",
+         bare AS (SELECT DISTINCT project_id, regexp_extract(import_path, '^[^/]*/', 0) AS prefix, import_path FROM imports WHERE NOT starts_with(import_path, '.') AND contains(import_path, '/') AND project_id IS NOT NULL),
+         added AS (SELECT DISTINCT project_id, 'deps/' || length(prefix) || '/' || substring(import_path, length(prefix) + 1) AS path FROM bare WHERE length(import_path) % 3 > 0),
+         candidates AS (SELECT i.*, CASE WHEN starts_with(i.import_path, '.') THEN {_normal_sql("regexp_replace(src, '/?[^/]*$', '') || '/' || i.import_path")}
+                                         WHEN b.prefix IS NOT NULL THEN {_normal_sql("'deps/' || length(b.prefix) || '/' || substring(i.import_path, length(b.prefix) + 1)")} END AS candidate
+                        FROM imports i LEFT JOIN bare b ON b.project_id = i.project_id AND b.import_path = i.import_path)
+         SELECT DISTINCT c.project_id, c.src, c.ord, c.import_path, f.path AS dst FROM candidates c
+         LEFT JOIN (SELECT DISTINCT project_id, path FROM files UNION SELECT project_id, {_normal_sql('path')} FROM added) f ON f.project_id = c.project_id AND f.path = c.candidate"""
+)
+def g_edges_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """Imports through remapping files: each project's own list sends the first step of its bare imports to a folder, where two thirds of them are."""
+    files = _projects(spark, d)
+    bare = closure.import_edges(files).where(~F.col("import_path").startswith(".") & F.contains("import_path", F.lit("/"))).where("project_id is not null")
+    prefix = F.regexp_extract("import_path", "^[^/]*/", 0)
+    target = F.concat(F.lit("deps/"), F.length(prefix))
+    lines = bare.groupBy("project_id").agg(F.array_sort(F.collect_set(F.concat(prefix, F.lit(" = "), target, F.lit("  # by the first step")))).alias("lines"))
+    mapping = closure.remappings(lines.select("project_id", F.concat(F.lit("# remappings\nno mapping\n"), F.array_join("lines", "\n")).alias("text")))
+    added = bare.where(F.length("import_path") % 3 > 0).select("project_id", F.concat(target, F.lit("/"), F.expr("substring(import_path, length(regexp_extract(import_path, '^[^/]*/', 0)) + 1)")).alias("path"), F.lit("").alias("text"))
+    return closure.import_edges(files.unionByName(added.distinct()), mapping)
+
+
 _REACHED = (
     _EDGES.replace("WITH files", "WITH RECURSIVE files")
     + rf""", entries AS (SELECT DISTINCT id AS project_id, {_normal_sql('contracts[-1].relative_path')} AS path FROM records WHERE id IS NOT NULL AND contracts[-1].relative_path IS NOT NULL),
@@ -656,11 +708,10 @@ def s_checksum_status(spark: SparkSession, d: str) -> DataFrame:
     return manifest.compared(expected.select("path", "checksum").unionByName(lost), files, "text")
 
 
-@query("SELECT DISTINCT id, replace(contracts[-1].relative_path, chr(92), '/') AS path FROM records WHERE contracts[-1].relative_path IS NOT NULL AND NOT regexp_matches(replace(contracts[-1].relative_path, chr(92), '/'), '(^|/)\\.{1,2}(/|$)')")
+@query(f"SELECT DISTINCT id, {_normal_sql('contracts[-1].relative_path')} AS path FROM records WHERE contracts[-1].relative_path IS NOT NULL")
 def g_normal_paths(spark: SparkSession, d: str) -> DataFrame:
     path = F.try_element_at("contracts", F.lit(-1))["relative_path"]
-    rows = table(spark, d, "records").select("id", path.alias("raw")).where("raw is not null").where(~F.regexp_replace("raw", r"\\", "/").rlike(r"(^|/)\.{1,2}(/|$)"))
-    return rows.select("id", normal_path("raw").alias("path")).distinct()
+    return table(spark, d, "records").select("id", path.alias("raw")).where("raw is not null").select("id", normal_path("raw").alias("path")).distinct()
 
 
 # --- the whole way ------------------------------------------------------------------------------
