@@ -521,9 +521,87 @@ def l_summary(spark: SparkSession, d: str) -> DataFrame:
     return l_findings(spark, d).groupBy("category").agg(F.sum("n").alias("findings"), F.count("*").alias("specs"))
 
 
-@query()
+_PROBE_HEAD = "methods {\n    function leakProbe() external view;\n    function freeProbe(uint256) external envfree;\n}\n\n"
+_PROBE_TAIL = """
+invariant probeShape() old(probeTotal()) == 0 && before;
+
+invariant probeEnv(address a) e.msg.sender == a;
+
+invariant probeBraces() { probeTotal() == 0 }
+
+rule probeRule(address a) {
+    sinvoke drop();
+    require probeMap[a] > 0, "text";
+    requireInvariant probeTotal() > 0;
+    require(a != 0);
+    assert msg.sender == a
+    assert e.block.timestamp > probeTotal;
+    assert ghostProbe == sum(probeMap);
+    freeProbe(e, 1);
+}
+"""
+_PROBE_CONTRACT = "\ncontract Probe { uint256 public probeTotal; mapping(address => uint256) public probeMap; }"
+
+
+def _probed(spark: SparkSession, d: str) -> DataFrame:
+    """Every specification with an instance of each mistake behind it; a third of them without a methods block."""
+    spec = F.when(F.col("spec_id") % 3 == 0, F.replace("spec", F.lit("methods"), F.lit("thods"))).otherwise(F.concat(F.lit(_PROBE_HEAD), "spec"))
+    return _specs(spark, d).select("spec_id", F.concat(spec, F.lit(_PROBE_TAIL)).alias("spec"), F.concat("contract", F.lit(_PROBE_CONTRACT)).alias("contract"))
+
+
+def _named_findings(check: int, category: str, names: str, test: str, message: str) -> str:
+    return f"SELECT spec_id, {check} AS check_id, '{category}' AS category, unnest(list_transform(list_filter({names}, lambda n: {test}), lambda n: {{message: {message}, line: NULL::INT}})) AS f FROM parts"
+
+
+def _line_findings(check: int, category: str, test: str, message: str, lines: str = "lines") -> str:
+    return f"SELECT spec_id, {check} AS check_id, '{category}' AS category, unnest(list_transform(list_filter(list_transform(range(1, len({lines}) + 1), lambda i: {{x: {lines}[i], n: i}}), lambda s: {test.format('s.x')}), lambda s: {{message: '{message}: ' || {_STRIP.format('s.x')}, line: s.n::INT}})) AS f FROM parts"
+
+
+_SPEC_OF = rf"SELECT spec_id, CASE WHEN spec_id % 3 = 0 THEN replace(spec, 'methods', 'thods') ELSE '{_PROBE_HEAD}' || spec END || '{_PROBE_TAIL}' AS spec, contract || '{_PROBE_CONTRACT}' AS contract FROM ({_SPECS})"
+_FIRED_SQL = (
+    _LINT_SQL[: _LINT_SQL.index("         counts AS (")].replace(f"WITH specs AS ({_SPECS})", f"WITH specs AS ({_SPEC_OF})").rstrip().rstrip(",")
+    + rf""",
+         shown AS (SELECT *, regexp_extract_all(spec, '\binvariant\s+(\w+)\s*\([^)]*\)', 1) AS invariant_names, regexp_extract_all(spec, '(?s)\brule\s+(\w+)\s*\(([^)]*)\)\s*(\{{.*?\n\}})', 1) AS rule_names,
+                          list_transform(regexp_extract_all(contract, '{_MAPPED}', 1), lambda n: {{name: n, kind: 'mapping'}})
+                          || list_transform(list_filter(list_distinct(regexp_extract_all(contract, '\b{_B}\s+public\s+(?:constant\s+)?(\w+)', 2) || regexp_extract_all(contract, '\b([A-Za-z_][A-Za-z0-9_]*(?:\s*\[\s*\d*\s*\])*)\s+public\s+(?:constant\s+)?(\w+)\s*[=;]', 2)),
+                                                        lambda n: NOT list_contains(regexp_extract_all(contract, '{_MAPPED}', 1), n)), lambda n: {{name: n, kind: 'variable'}}) AS declared,
+                          string_split_regex(methods, '\r\n|\n|\r') AS method_lines FROM parts_of),
+         parts AS (SELECT * FROM shown),
+         found AS (
+           SELECT spec_id, 1 AS check_id, 'missing_methods' AS category, {{message: 'no closed methods block', line: NULL::INT}} AS f FROM parts WHERE methods IS NULL
+           UNION ALL {" UNION ALL ".join(_line_findings(1, 'keyword_leak', rf"regexp_matches({{0}}, '\b{w}\b')", f"contract keyword `{w}` in methods block", "method_lines") for w in ('view', 'pure', 'payable', 'nonpayable'))}
+           UNION ALL {_named_findings(2, 'missing_getter', 'declared', r"methods IS NOT NULL AND regexp_matches(rest, '\b' || n.name || '\b') AND NOT regexp_matches(methods, 'function\s+' || n.name || '\s*\(')", "'public ' || n.kind || ' `' || n.name || '` is used but has no getter in the methods block'")}
+           UNION ALL {_named_findings(3, 'forbidden_sum', r"regexp_extract_all(spec, '\bsum\s*\(\s*(\w+)\s*\)', 1)", 'true', "'`sum(' || n || ')`: there is no sum, keep a ghost in a hook'")}
+           UNION ALL {" UNION ALL ".join(_named_findings(4, 'invariant_shape', 'list_zip(invariant_names, invariants)', f"regexp_matches(n[2], '{p}')", f"'invariant `' || n[1] || '` contains {w}: use a rule'") for w, p in (('old', r'(?i)\b(?:old|@old)\b'), ('before', r'(?i)\bbefore\b'), ('after', r'(?i)\bafter\b')))}
+           UNION ALL {_named_findings(5, 'undeclared_env', 'list_zip(rule_names, rules)', r"regexp_matches(n[2][2], '\be\.') AND NOT regexp_matches(n[2][1], '\benv\s+e\b') AND NOT regexp_matches(n[2][2], '\benv\s+e\b')", "'rule `' || n[1] || '` uses e. without env e'")}
+           UNION ALL {_named_findings(6, 'mapping_syntax', 'mapped', r"regexp_matches(rest, '\b' || n || '\s*\[')", "'mapping `' || n || '` is indexed; call it'")}
+           UNION ALL {_named_findings(7, 'uncalled_getter', 'variables', r"regexp_matches(regexp_replace(rest, '\b' || n || '\s*\(', '', 'g'), '\b' || n || '\b')", "'getter `' || n || '` is used as a variable; call it'")}
+           UNION ALL {_line_findings(8, 'invalid_require', r"""regexp_matches({0}, '\brequire\b.*,\s*"[^"]*"')""", 'require takes no message')}
+           UNION ALL {_line_findings(9, 'invalid_require_invariant', r"regexp_matches({0}, '\brequireInvariant\s+.*(?:!=|==|>|<|>=|<=|&&|\|\||\be\.)')", 'requireInvariant takes a call of an invariant')}
+           UNION ALL {_line_findings(10, 'bare_solidity_env', r"regexp_matches(regexp_replace({0}, 'e\.(block\.timestamp|msg\.sender|msg\.value)\b', chr(1), 'g'), '" + _BARE + "')", 'environment without e.')}
+           UNION ALL {_line_findings(11, 'invariant_brace_body', r"regexp_matches({0}, '\binvariant\s+\w+\s*\([^)]*\)\s*\{{')", "an invariant''s body has no braces")}
+           UNION ALL {_named_findings(12, 'env_in_invariant', 'list_zip(invariant_names, invariants)', r"regexp_matches(n[2], '\be\.(?:msg|block|tx)\.')", "'invariant `' || n[1] || '` uses the environment'")}
+           UNION ALL {_named_findings(13, 'undeclared_ghost', r"list_distinct(regexp_extract_all(spec, '\b(ghost\w+)\b', 1))", r"NOT list_contains(list_transform(regexp_extract_all(spec, '(?s)\bghost\s+([^;]*)', 1), lambda t: regexp_extract(t, '(?s)([A-Za-z_]\w*)[^A-Za-z_]*$', 1)), n)", "'ghost `' || n || '` is not declared'")}
+           UNION ALL {_line_findings(14, 'deprecated_sinvoke', r"regexp_matches({0}, '\b(sinvoke|invoke)\b')", 'call functions without sinvoke or invoke')}
+           UNION ALL {_named_findings(15, 'envfree_with_env', r"list_distinct(regexp_extract_all(methods, 'function\s+(\w+)\s*\([^)]*\)[^;]*\benvfree\b', 1))", r"regexp_matches(rest, '\b' || n || '\s*\(\s*e\s*[,)]')", "'envfree function `' || n || '` is called with e'")}
+           UNION ALL {_line_findings(16, 'require_parens', r"regexp_matches({0}, '\brequire\s*\(') AND NOT regexp_matches({0}, '\brequireInvariant\b')", 'require takes no parentheses')}
+           UNION ALL {_line_findings(17, 'missing_semicolon', rf"regexp_matches({_STRIP.format('{0}')}, '^(assert|require)\s+') AND NOT regexp_matches({_STRIP.format('{0}')}, '[;{{{{]$')", 'no semicolon')})
+    """
+).replace("         parts AS (SELECT spec_id, spec", "         parts_of AS (SELECT spec_id, spec", 1)
+
+
+@query(_FIRED_SQL + " SELECT spec_id, check_id, category, f.message AS message, f.line AS line FROM found")
+def l_fired(spark: SparkSession, d: str) -> DataFrame:
+    """All 17 checks on specifications with every mistake in them: check, message and line of each finding."""
+    found = lint.exploded(_probed(spark, d)).select("spec_id", "ord", "check_id", "category", "message", "line").distinct()
+    return found.drop("ord")
+
+
+@query(_FIRED_SQL + " SELECT spec_id, '- [' || category || '] ' || f.message || CASE WHEN coalesce(f.line, 0) > 0 THEN ' (line ' || f.line || ')' ELSE '' END AS text FROM found")
 def l_formatted(spark: SparkSession, d: str) -> DataFrame:
-    return lint.findings(_specs(spark, d)).select("spec_id", F.md5(lint.formatted("findings")).alias("text")).distinct()
+    """The findings of the same specifications as the lines of their report."""
+    found = lint.findings(_probed(spark, d)).select("spec_id", F.posexplode(F.split(lint.formatted("findings"), "\n- \\[")).alias("n", "text")).distinct()
+    return found.select("spec_id", F.when(F.col("n") == 0, F.col("text")).otherwise(F.concat(F.lit("- ["), "text")).alias("text"))
 
 
 def _env_sql(x: str) -> str:
