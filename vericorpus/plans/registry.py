@@ -630,10 +630,84 @@ def r_steps(spark: SparkSession, d: str) -> DataFrame:
     return _specs(spark, d).select("spec_id", F.explode(made).alias("r")).select("spec_id", "r.step", "r.spec").distinct()
 
 
-@query()
+_STEP_METHODS = "methods {\n    function drop() external;\n    function pay(uint256) external;\n    function freeProbe(uint256) external envfree;\n}"
+_STEP_TAIL = """
+rule moreRule(address a) {
+    env e;
+    drop( ); pay( 1 ); pay( e, 2); pay(e); freeProbe(3); freeProbe( e , 4); freeProbe( e );
+    assert wrap(pay(a)) == probeMap[a] + probeTotal + probeMap [ a + 1 ];
+}
+
+rule bareRule(uint256 x)  {
+    assert e.msg.value > ghostB + ghostA && a != address( 0 );
+}
+"""
+
+
+def _stepped(spark: SparkSession, d: str) -> DataFrame:
+    """The specifications of ``_probed`` with calls, indexes and variables behind them that the other steps change."""
+    return _probed(spark, d).withColumn("spec", F.concat("spec", F.lit(_STEP_TAIL)))
+
+
+_STEPPED_SQL = f"SELECT spec_id, spec || '{_STEP_TAIL}' AS spec, contract FROM ({_SPEC_OF})"
+_BLOCK = r"regexp_extract(spec, 'methods\s*\{[^{}]*\}', 0)"
+_AFTER_BLOCK = f"substring(spec, instr(spec, {_BLOCK}) + length({_BLOCK}))"
+_UNTIL_BLOCK = f"substring(spec, 1, instr(spec, {_BLOCK}) + length({_BLOCK}) - 1)"
+_MAPS = r"regexp_extract_all(contract, 'mapping\s*\([^)]+\)\s+public\s+(\w+)', 1)"
+_VARS = r"regexp_extract_all(contract, '(?:uint\d*|int\d*|address|bool|bytes\d*|string)\s+public\s+(\w+)', 1)"
+_FREE = rf"list_distinct(regexp_extract_all({_BLOCK}, 'function\s+(\w+)\s*\([^)]*\)[^;]*\benvfree\b', 1))"
+_RULES_CUT = r"string_split(regexp_replace(spec, '(?s)(\brule\s+\w+\s*\([^)]*\))(\s*)(\{.*?\n\})', chr(1) || '\1' || chr(2) || '\2' || chr(2) || '\3' || chr(1), 'g'), chr(1))"
+
+
+def _any_of(names: str) -> str:
+    return f"'(' || array_to_string({names}, '|') || ')'"
+
+
+def _rules_sql(changed: str) -> str:
+    """Every rule, cut into r[1] (head), r[2] (blanks) and r[3] (body), changed."""
+    return f"array_to_string(list_transform({_RULES_CUT}, lambda p: list_transform([string_split(p, chr(2))], lambda r: CASE WHEN len(r) = 3 THEN {changed} ELSE p END)[1]), '')"
+
+
+_CALLS = r"string_split(regexp_replace(r[3], '(\w+\s*\([^()]*\))', chr(3) || '\1' || chr(3), 'g'), chr(3))"
+_GIVEN = _STRIP.format(r"regexp_extract(c, '(?s)\((.*)\)$', 1)")
+_MORE_SQL = {
+    "methods": f"CASE WHEN {_BLOCK} = '' THEN '{_STEP_METHODS}' || chr(10) || chr(10) || spec ELSE substring(spec, 1, instr(spec, {_BLOCK}) - 1) || '{_STEP_METHODS}' || {_AFTER_BLOCK} END",
+    "mappings": rf"regexp_replace(spec, '\b' || {_any_of(_MAPS)} || '\s*\[([^\]]+)\]', '\1(\2)', 'g')",
+    "getters": rf"CASE WHEN {_BLOCK} = '' THEN spec ELSE {_UNTIL_BLOCK} || replace(regexp_replace(regexp_replace({_AFTER_BLOCK}, '\b' || {_any_of(_VARS)} || '(\s*\()', '\1__called\2', 'g'), '\b' || {_any_of(_VARS)} || '\b', '\1()', 'g'), '__called', '') END",
+    "env_declarations": _rules_sql(r"CASE WHEN regexp_matches(r[3], '\be\.') AND NOT regexp_matches(r[1] || r[3], '\benv\s+e\b') THEN r[1] || ' {' || chr(10) || '    env e;' || chr(10) || substring(r[3], 2) ELSE r[1] || r[2] || r[3] END"),
+    "ghosts": r"""list_transform([list_sort(list_filter(list_distinct(regexp_extract_all(spec, '\b(ghost\w+)\b', 1)), lambda g: NOT list_contains(regexp_extract_all(spec, '\bghost\s+\S+\s+(\w+)\s*[;{]', 1), g)))],
+        lambda m: CASE WHEN len(m) = 0 THEN spec ELSE list_transform([greatest(1, instr(spec, coalesce(nullif(regexp_extract(spec, '\bmethods\s*\{', 0), ''), chr(7))))],
+            lambda pl: substring(spec, 1, pl - 1) || array_to_string(list_transform(m, lambda g: 'ghost uint256 ' || g || ';'), chr(10)) || chr(10) || chr(10) || substring(spec, pl))[1] END)[1]""",
+    "env_arguments_dropped": rf"CASE WHEN {_BLOCK} = '' OR len({_FREE}) = 0 THEN spec ELSE {_UNTIL_BLOCK} || regexp_replace(regexp_replace({_AFTER_BLOCK}, '\b' || {_any_of(_FREE)} || '\s*\(\s*e\s*,\s*', '\1(', 'g'), '\b' || {_any_of(_FREE)} || '\s*\(\s*e\s*\)', '\1()', 'g') END",
+    "env_arguments": _rules_sql(
+        rf"""CASE WHEN NOT regexp_matches(r[3], '\benv\s+e\s*;') THEN r[1] || r[2] || r[3] ELSE r[1] || array_to_string(list_transform({_CALLS}, lambda c:
+             CASE WHEN NOT regexp_matches(c, '^(drop|pay)\s*\([^()]*\)$') OR {_GIVEN} = 'e' OR starts_with({_GIVEN}, 'e,') OR starts_with({_GIVEN}, 'env ') THEN c
+                  ELSE regexp_extract(c, '^\w+', 0) || '(e' || CASE WHEN {_GIVEN} = '' THEN '' ELSE ', ' || {_GIVEN} END || ')' END), '') END"""
+    ),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT spec_id, '{name}' AS step, md5({sql}) AS spec FROM ({_STEPPED_SQL})" for name, sql in _MORE_SQL.items()))
+def r_more_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The steps that need names of the contract, rules or the methods block, each by itself."""
+    steps = [(name, step) for name, step in rewrite.STEPS if name in _MORE_SQL]
+    made = F.array(*(F.struct(F.lit(name).alias("step"), F.md5(step(F.col("spec"), F.col("contract"), F.lit(_STEP_METHODS))).alias("spec")) for name, step in steps))
+    return _stepped(spark, d).select("spec_id", F.explode(made).alias("r")).select("spec_id", "r.step", "r.spec").distinct()
+
+
+def _chain_sql() -> str:
+    """All steps in order, a table each."""
+    tables, last = [f"s AS MATERIALIZED ({_STEPPED_SQL})"], "s"
+    for k, (name, _) in enumerate(rewrite.STEPS):
+        tables.append(f"s{k} AS MATERIALIZED (SELECT spec_id, contract, {({**_STEPS_SQL, **_MORE_SQL})[name]} AS spec FROM {last})")
+        last = f"s{k}"
+    return "WITH " + ", ".join(tables) + f" SELECT spec_id, md5(spec) AS spec FROM {last}"
+
+
+@query(_chain_sql())
 def r_cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """The whole pipeline; its order and per-contract names have no equal in SQL, so it is tested on fixtures."""
-    specs = _specs(spark, d).withColumn("methods", solidity.methods_block("contract"))
+    """The whole pipeline in its order."""
+    specs = _stepped(spark, d).withColumn("methods", F.lit(_STEP_METHODS))
     return rewrite.cleaned(specs).select("spec_id", F.md5("spec").alias("spec")).distinct()
 
 
