@@ -150,6 +150,7 @@ _FIRST = {
 _START = np.array([x for kind in _KINDS for x in _FIRST[kind]], np.float64)
 _BLANK_CLASSES, _SMALL = len(_CASES), _CASES.index("lower")
 _SLOTS = 1 << SLOT_BITS
+_CLASS = {kind: k * len(_CASES) for k, kind in enumerate(_KINDS)}
 _IDS: dict[str, int] = {}
 _RIGHT: dict[str, tuple[int, int]] = {}
 _TWO_OF_HAN = re.compile(r"(?:[A-Za-z0-9_.]+|\S){0,2}")
@@ -166,6 +167,39 @@ def _slot(name: str) -> int:
     return known
 
 
+def _kept(cache: dict, key: str, make):
+    """A value of a cache that starts again when it is large."""
+    known = cache.get(key)
+    if known is None:
+        if len(cache) > 200_000:
+            cache.clear()
+        known = cache[key] = make(key)
+    return known
+
+
+_LEFT: dict[str, tuple[int, int]] = {}
+_STOPS: dict[str, tuple[bool, str]] = {}
+_WORD_KINDS: dict[str, str] = {}
+
+
+def _left_of(token: str) -> tuple[int, int]:
+    """Slot and length of a token's type before a gap; a blank before the token marks a spaced script."""
+    name = " " + token_type(token[1:]) if token[0] == " " else token_type(token)
+    return _slot(name), len(name)
+
+
+def _stop_of(stop: str) -> tuple[bool, str]:
+    """Whether a stop is wide, and its kind where that is settled by itself."""
+    return any(c in _WIDE for c in stop), "strong" if any(c in "!?。！？؟।॥۔" for c in stop) else "several" if len(stop) > 1 or stop == "…" else ""
+
+
+def _word_kind(word: str) -> str:
+    """The kind of a single period by the word before it: a unit only behind a number."""
+    if _UNIT.fullmatch(word) and word.islower():
+        return "unit " + ("initials" if _INITIALS.fullmatch(word) else "short")
+    return "initials" if _INITIALS.fullmatch(word) else "number" if _SMALL_NUMBER.fullmatch(word) else "short" if len(word) <= 3 else "period"
+
+
 def _right_of(token: str) -> tuple[int, int]:
     """Slot and case of a token that follows a gap (no script without spaces)."""
     known = _RIGHT.get(token)
@@ -257,33 +291,26 @@ def gaps(text: str, start: int, end: int, words: _Words, over: int) -> list[tupl
         a, size = places[b]
         right, second, case = words.after(b)
         token = words.before(b)
-        left = (" " if spaced else "") + token_type(token) if token else ""
+        left, size_of_left = _kept(_LEFT, " " + token if spaced else token, _left_of) if token else (-1, 0)
         if a < 0:
-            out.append((b, 0, _slot(left), right, second, len(left)))
+            out.append((b, 0, left, right, second, size_of_left))
             continue
         stop = text[a : a + size]
         closed = b > a + size
-        word = token[: len(token) - (b - a)].lstrip(_OPENING).lower()
-        if any(c in _WIDE for c in stop) and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
+        wide, kind = _kept(_STOPS, stop, _stop_of)
+        if wide and _HAN_ONE.search(text[max(start, a - 1) : a] + text[b : b + 1]):
             # a quotation that a colon brings in ends its sentence, another one most often goes on
             opened = last("“「『‘《（", a) if closed else -1
             kind = "wide" if not closed else "wide told" if opened > start and text[opened - 1] in "：:" else "wide quoted"
-            left = stop + (text[a + size : b] if closed else "")
-        elif any(c in "!?。！？؟।॥۔" for c in stop):
-            kind = "strong"
-        elif len(stop) > 1 or stop == "…":
-            kind = "several"
-        elif closed:
+            left = _slot(stop + (text[a + size : b] if closed else ""))
+        elif not kind and closed:
             kind = "quoted"
-        elif _UNIT.fullmatch(word) and _NUMBER_BEFORE.search(text[max(start, a - len(word) - 24) : a - len(word)]) and text[a - 1].islower():
-            kind = "unit"
-        elif _INITIALS.fullmatch(word):
-            kind = "initials"
-        elif _SMALL_NUMBER.fullmatch(word):
-            kind = "number"
-        else:
-            kind = "short" if len(word) <= 3 else "period"
-        out.append((b, _KINDS.index(kind) * len(_CASES) + case, _slot(left), right, second, 0))
+        elif not kind:
+            word = token[: len(token) - (b - a)].lstrip(_OPENING)
+            kind = _kept(_WORD_KINDS, word.lower() if not _UNIT.fullmatch(word) else word, _word_kind)
+            if kind.startswith("unit"):
+                kind = "unit" if _NUMBER_BEFORE.search(text[max(start, a - len(word) - 24) : a - len(word)]) else kind[5:]
+        out.append((b, _CLASS[kind] + case, left, right, second, 0))
     return out
 
 
