@@ -73,8 +73,7 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    sized = mixing.plan(mixing.token_counts(table(spark, d, "documents")), table(spark, d, "mix_targets"))
-    return sized.where("missed").select("source")
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1].where("missed").select("source")
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -89,6 +88,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
+_LEAKED = r"""
+            WITH texts AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+                 items AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL AND item_id IS NOT NULL),
+                 held AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM texts),
+                 asked AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM items)
+            SELECT DISTINCT doc_id, item_id FROM held JOIN asked USING (p)
+        """
+
 _PAIRS = r"""
             WITH files AS (SELECT DISTINCT c.file_id, regexp_extract_all(c.clean_source, '[A-Za-z0-9_]+') AS w FROM (SELECT unnest(contracts) AS c FROM records)
                            WHERE lower(c.relative_path) LIKE '%.sol' AND c.clean_source IS NOT NULL AND c.file_id IS NOT NULL),
@@ -120,11 +127,13 @@ def oracle_sql() -> dict[str, str]:
                  edges AS (SELECT file_id_a AS u, file_id_b AS v FROM pairs UNION ALL SELECT file_id_b, file_id_a FROM pairs),
                  walk AS (SELECT u AS file_id, u AS node FROM edges UNION SELECT w.file_id, e.v FROM walk w JOIN edges e ON e.u = w.node)
             SELECT file_id, min(node) AS group_id FROM walk GROUP BY 1""",
-        "p6_found": r"""
-            WITH texts AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-                 items AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL AND item_id IS NOT NULL),
-                 held AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM texts),
-                 asked AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS p FROM items)
-            SELECT DISTINCT doc_id, item_id FROM held JOIN asked USING (p)
+        "p6_found": _LEAKED,
+        "p6_clean": f"SELECT doc_id, n_chars FROM documents WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM ({_LEAKED}))",
+        "p3_found": """
+            WITH items AS (SELECT DISTINCT 'file' AS item_kind, c.file_id AS item_id, 'f' || coalesce(id, '') AS owner, c.clean_source AS text FROM (SELECT id, unnest(contracts) AS c FROM records)
+                           UNION SELECT DISTINCT 'snapshot', history_id, 's' || coalesce(contract_hash, ''), spec_snapshot FROM error_history),
+                 runs AS (SELECT item_kind, item_id, owner, unnest(list_transform(range(1, length(text) - 398), lambda i: hash(substring(text, i, 400)))) AS run FROM items WHERE length(text) >= 400),
+                 shared AS (SELECT run FROM runs GROUP BY 1 HAVING min(owner) <> max(owner))
+            SELECT DISTINCT item_kind, item_id FROM runs SEMI JOIN shared USING (run) WHERE item_id IS NOT NULL
         """,
     }
