@@ -815,7 +815,17 @@ def g_missing(spark: SparkSession, d: str) -> DataFrame:
     return closure.missing_imports(edges, reached).withColumn("missing", F.array_join("missing", ","))
 
 
-@query()
+_TEXT_SQL = _REACHED + """,
+         steps AS (SELECT project_id, path AS entry, path, 0 AS depth FROM entries
+                   UNION SELECT w.project_id, w.entry, e.dst, w.depth + 1 FROM steps w JOIN edges e ON e.project_id = w.project_id AND e.src = w.path WHERE e.dst IS NOT NULL AND w.depth < 12),
+         nearest AS (SELECT project_id, entry, path, min(depth) AS depth FROM steps GROUP BY ALL),
+         sources AS (SELECT project_id, path, any_value(text) AS text FROM files GROUP BY ALL)
+    SELECT n.project_id, n.entry, count(*)::INT AS files, sha256(string_agg('// SOURCE: ' || n.path || chr(10) || s.text, chr(10) || chr(10) ORDER BY n.depth, n.path)) AS contract_hash
+    FROM nearest n JOIN sources s USING (project_id, path) GROUP BY 1, 2
+"""
+
+
+@query(_TEXT_SQL)
 def g_project_text(spark: SparkSession, d: str) -> DataFrame:
     files = _projects(spark, d)
     reached = closure.import_closure(closure.import_edges(files), closure.entry_files(table(spark, d, "records")))
