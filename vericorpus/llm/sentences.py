@@ -52,7 +52,7 @@ _CLOSING = "\"'’”»›)\\]}」』）】》〉"
 _WIDE = "。！？…"  # terminals that need no blank after them
 _HAN = "぀-ヿ㐀-䶿一-鿿가-힯　-〿＀-￯"
 _SPACED = re.compile("[฀-๿຀-໿က-႟ក-៿]")  # scripts with spaces but without periods
-_STOP = re.compile(rf"[{_TERMINAL}]+(?:\s?»|[{_CLOSING}])*")
+_STOP = re.compile(rf"([{_TERMINAL}]+)(?:\s?»|[{_CLOSING}])*")
 _WORD = re.compile(r"\S+")
 _LETTER = re.compile(r"[^\W\d_]")
 _OPENING = "\"'“„«‘([{¿¡「『（【《‹*_   "
@@ -61,7 +61,6 @@ _TAIL = _CLOSING.replace("\\", "") + ",;:"
 _INTEGER = re.compile(r"[-+]?\d{1,4}")
 _IDENTIFIER = re.compile(r"[a-z\d][A-Z]|[\w][._/(:][\w(]|_")
 _HAN_ONE, _LATIN = re.compile(f"[{_HAN}]"), re.compile(r"[A-Za-z0-9_.]+")
-_TERMINALS = re.compile(rf"[{_TERMINAL}]+")
 _UNIT, _NUMBER_BEFORE = re.compile(r"[^\W\d_]|min|sec|ms|km|kg"), re.compile(r"\d[.,]?\d*\s$")
 _INITIALS = re.compile(r"[^\W\d_]|([^\W\d_]\.)+[^\W\d_]")
 _SMALL_NUMBER = re.compile(r"\d{1,4}")
@@ -177,6 +176,11 @@ def _kept(cache: dict, key: str, make):
     return known
 
 
+def _type_slot(token: str) -> int:
+    return _slot(token_type(token))
+
+
+_SECOND: dict[str, int] = {}
 _LEFT: dict[str, tuple[int, int]] = {}
 _STOPS: dict[str, tuple[bool, str]] = {}
 _WORD_KINDS: dict[str, str] = {}
@@ -237,6 +241,12 @@ class _Words:
         if k == len(self.ends):
             return _slot("</s>"), -1, 0
         text, a, b = self.text, max(at, self.starts[k]), self.ends[k]
+        if b - a <= 60 and not self.spaced and (token := text[a:b]).isascii():
+            kind, case = _RIGHT.get(token) or _right_of(token)
+            if k + 1 == len(self.ends):
+                return kind, _slot("</s>"), case
+            second = text[self.starts[k + 1] : self.ends[k + 1]][:60]
+            return kind, _SECOND.get(second) or _kept(_SECOND, second, _type_slot), case
         first = text[a]
         if _HAN_ONE.match(first) or not first.isascii() or b - a > 60:
             m = next((i for i in range(a, b) if text[i] not in _OPENING), a)
@@ -274,7 +284,7 @@ def gaps(text: str, start: int, end: int, words: _Words, over: int) -> list[tupl
         a, b = m.start(), m.end()
         if text[b : b + 1] in ("“", "‘") and b < end and last("„" if text[b] == "“" else "‚", b) > last(text[b], b):
             b += len(re.match(rf"[“‘{_CLOSING}]+", text[b:end]).group(0))  # it closes a quotation that began low
-        stop = _TERMINALS.match(m.group(0)).group(0)
+        stop = m.group(1)
         after = text[b : b + 1] if b < end else ""
         if after and not after.isspace():
             han = bool(_HAN_ONE.match(after))
