@@ -119,3 +119,11 @@ def test_responses(spark):
     assert one(spark, responses.reference_block(hits), t="") == "--- Reference Example 1 | Contract: C | Spec File: f.spec (Similarity: 0.5000) ---\nd\n"
     assert one(spark, responses.reference_block(F.slice(hits, 1, 0)), t="") == "No reference spec chunks retrieved."
     assert one(spark, responses.known_error_block(F.array(*(F.lit(str(k)) for k in range(30)))), t="").count("\n") == 19
+
+
+def test_full_prompt_and_hints(spark):
+    hits = "array(named_struct('contract_name', 'A', 'spec_filename', 'a.spec', 'score', 0.9D, 'document', 'd'))"
+    row = spark.range(1).selectExpr("'contract T {}' s", "cast(null as string) n", "'methods {}' m", f"{hits} h", "transform(sequence(1, 30), x -> concat('e', x, '.')) e", "'Owner' o")
+    got = row.select(responses.full_prompt("s", "n", "m", "h", "e").alias("p"), responses.full_prompt("s", "n", "m", "h", F.array().cast("array<string>")).alias("q"), solidity.property_hints("o").alias("o"), solidity.property_hints("m").alias("g")).first()
+    assert got["p"].startswith("CONTRACT: TargetContract\ncontract T {}") and "- e20." in got["p"] and "e21." not in got["p"] and "KNOWN ERRORS" not in got["q"]
+    assert len(got["o"]) == 2 and len(got["g"]) == 1
