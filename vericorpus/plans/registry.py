@@ -6,12 +6,15 @@ patterns have no look-around, so texts are marked and cut instead).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vericorpus.functions import responses, solidity
 from vericorpus.functions.text import normal_path
 from vericorpus.operators import closure, evaluation, history, lint, logs, manifest, merge, rewrite, search
+from vericorpus.sources import files
 from vericorpus.sources.tables import contract_files, spec_texts, table
 
 QUERIES: dict = {}
@@ -876,6 +879,63 @@ def g_normal_paths(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "records").select("id", path.alias("raw")).where("raw is not null").select("id", normal_path("raw").alias("path")).distinct()
 
 
+# --- sources and sinks --------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder, deleted with the staged tables."""
+    from vericorpus import session
+
+    path = f"{session.shared_folder(spark)}/vericorpus-{label}-{uuid.uuid4().hex}"
+    session._STAGED.append(path)
+    return path
+
+
+@query("SELECT md5(path) AS name, md5(text || chr(10)) AS text FROM contract_sources WHERE path IS NOT NULL AND text IS NOT NULL")
+def s_source_files(spark: SparkSession, d: str) -> DataFrame:
+    """Sources written as files, one a folder, and read back whole."""
+    path = _folder(spark, "sources")
+    rows = table(spark, d, "contract_sources").where("path is not null and text is not null")
+    rows.select(F.md5("path").alias("name"), "text").write.partitionBy("name").text(path)
+    return files.source_files(spark, path).select(F.regexp_extract("path", "name=([0-9a-f]+)/", 1).alias("name"), F.md5("text").alias("text"))
+
+
+@query("SELECT pos, path, md5(text) AS text FROM (SELECT row_number() OVER (ORDER BY path) - 1 AS pos, path, text FROM contract_sources) WHERE pos < 5")
+def s_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """A dataset file of JSON records and the first five of them."""
+    path = _folder(spark, "dataset")
+    rows = table(spark, d, "contract_sources").select(F.struct("path", "text").alias("r")).agg(F.to_json(F.array_sort(F.collect_list("r"))).alias("value"))
+    rows.coalesce(1).write.text(path)
+    read = files.dataset(spark, path, "array<struct<path:string,text:string>>")
+    return evaluation.first_records(read, 5).select(F.col("pos").cast("bigint").alias("pos"), "path", F.md5("text").alias("text"))
+
+
+@query(f"SELECT attempt, history_id, md5(spec_snapshot) AS spec FROM ({_HISTORY}) WHERE attempt IS NOT NULL")
+def s_spec_files(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots written a folder per attempt, in two runs, and read back."""
+    path = _folder(spark, "specs")
+    rows = _history(spark, d).where("attempt is not null").select("attempt", "history_id", "spec_snapshot")
+    for half in (0, 1):
+        files.write_specs(rows.where(F.pmod("history_id", F.lit(2)) == half), path)
+    return spark.read.parquet(path).select(F.col("attempt").cast("int").alias("attempt"), "history_id", F.md5("spec_snapshot").alias("spec"))
+
+
+@query(
+    f"""SELECT h.contract_hash, h.run_id, h.attempt, md5(h.spec_snapshot) AS spec, count(DISTINCT k.error) FILTER (k.error <> '') AS errors
+        FROM (SELECT *, row_number() OVER () AS row FROM ({_HISTORY})) h LEFT JOIN LATERAL (SELECT {_key('e.error')} AS error FROM (SELECT unnest(h.errors) AS error) e WHERE e.error IS NOT NULL) k ON true
+        GROUP BY h.row, 1, 2, 3, 4"""
+)
+def s_history_appended(spark: SparkSession, d: str) -> DataFrame:
+    """The history made new, appended to in two runs with canonical errors, and read back; no time is missing."""
+    path = _folder(spark, "history")
+    history.ensure_history(spark, path)
+    rows = _history(spark, d)
+    for half in (0, 1):
+        history.append_history(rows.where(F.pmod("history_id", F.lit(2)) == half), path)
+    history.ensure_history(spark, path)
+    return spark.read.parquet(path).where("created_at is not null").select("contract_hash", "run_id", "attempt", F.md5("spec_snapshot").alias("spec"), F.size("errors").cast("bigint").alias("errors"))
+
+
 # --- the whole way ------------------------------------------------------------------------------
 
 
