@@ -15,7 +15,7 @@ from vericorpus.functions import responses, solidity
 from vericorpus.functions.text import normal_path
 from vericorpus.operators import closure, evaluation, history, lint, logs, manifest, merge, rewrite, search
 from vericorpus.sources import files
-from vericorpus.sources.tables import contract_files, spec_texts, table
+from vericorpus.sources.tables import contract_files, spec_texts, spread_small, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -259,7 +259,7 @@ def e_enrich(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
-    return contract_files(table(spark, d, "records")).where("clean_source is not null").select("file_id", "relative_path", F.col("clean_source").alias("text"))
+    return contract_files(spread_small(table(spark, d, "records"))).where("clean_source is not null").select("file_id", "relative_path", F.col("clean_source").alias("text"))
 
 
 def _named_sql(values: dict) -> str:
@@ -458,7 +458,7 @@ def p_known_error_block(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _specs(spark: SparkSession, d: str) -> DataFrame:
-    records = table(spark, d, "records")
+    records = spread_small(table(spark, d, "records"))
     rows = records.select(F.try_element_at("contracts", F.lit(-1))["clean_source"].alias("contract"), F.explode("specs").alias("s"))
     return rows.select(F.col("s.spec_id").alias("spec_id"), F.col("s.text").alias("spec"), F.coalesce("contract", F.lit("")).alias("contract")).where("spec is not null")
 
@@ -719,7 +719,7 @@ def r_cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 def _fragments(spark: SparkSession, d: str) -> DataFrame:
     """A record's specifications taken as the fragments of one project."""
-    rows = table(spark, d, "records").select(F.col("id").alias("project_id"), F.posexplode("specs").alias("ord", "s"))
+    rows = spread_small(table(spark, d, "records")).select(F.col("id").alias("project_id"), F.posexplode("specs").alias("ord", "s"))
     return rows.select("project_id", "ord", F.col("s.text").alias("text")).where("project_id is not null and text is not null").distinct()
 
 

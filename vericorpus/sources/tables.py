@@ -11,6 +11,20 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+#: Bytes of files up to which a table is spread.
+SMALL = 16 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """A table of at most ``SMALL`` bytes of files dealt to all cores, any other as it is laid out.
+
+    A file of one row group cannot be split, so all work on a small table would be one task. What is shuffled is bounded by
+    ``SMALL`` whatever the cluster's size; the rows are the same either way.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL else df
+
+
 def contract_files(records: DataFrame) -> DataFrame:
     """One row per element of ``records.contracts``: record_id, file_id, relative_path, clean_source.
 
